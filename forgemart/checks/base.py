@@ -114,3 +114,22 @@ def plain(df: DataFrame) -> DataFrame:
     """Time-zone-free timestamps, as the SQL side has them."""
     stamps = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps}) if stamps else df
+
+
+def flat(df: DataFrame) -> DataFrame:
+    """Arrays as comma-separated text and maps as sorted ``key=value`` text."""
+    texts = {}
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.ArrayType):
+            texts[field.name] = F.array_join(field.name, ",")
+        elif isinstance(field.dataType, T.MapType):
+            pairs = F.transform(
+                F.array_sort(F.map_entries(field.name)),
+                lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")),
+            )
+            texts[field.name] = F.array_join(pairs, ",")
+    return df.withColumns(texts) if texts else df
+
+
+def iso(column: str) -> str:
+    return f"strftime({column}, '%Y-%m-%dT%H:%M:%SZ')"

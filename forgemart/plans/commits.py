@@ -99,14 +99,11 @@ def commit_heatmap(
 ) -> DataFrame:
     """Commits per weekday (0 is Monday) and hour; ``dense`` adds the empty cells of the 7 x 24 grid."""
     commits = params.where_equal(star.commits, repository_id=repository_id)
-    per_hour = commits.groupBy("date_id", F.hour("authored_at").alias("hour")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
     days = params.where_equal(star.date, year=year).select("date_id", "day_of_week", "day_name")
     cells = (
-        per_hour.join(days, "date_id")
-        .groupBy("day_of_week", "day_name", "hour")
-        .agg(F.sum("n").alias("commit_count"))
+        commits.join(days, "date_id")
+        .groupBy("day_of_week", "day_name", F.hour("authored_at").alias("hour"))
+        .agg(F.count(F.lit(1)).alias("commit_count"))
     )
     if not dense:
         return cells.orderBy("day_of_week", "hour")

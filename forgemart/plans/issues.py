@@ -38,14 +38,11 @@ def issue_timeline(star: Star, period: str = "weekly", limit: int = 52) -> DataF
     params.between("limit", limit, 4, 200)
     dates = ["created_date_id", "closed_date_id"]
     day = F.col("date_id")
-    per_day = touched_dates(star.issues.select(*dates), dates).groupBy("date_id").agg(
+    starts = star.date.select("date_id", times.period_start(period, F.col("full_date")).alias("date"))
+    per_period = touched_dates(star.issues.select(*dates), dates).join(starts, "date_id").groupBy("date").agg(
         F.count_if(F.col("created_date_id") == day).alias("opened"),
         F.count_if(F.col("closed_date_id") == day).alias("closed"),
     )
-    starts = star.date.select("date_id", times.period_start(period, F.col("full_date")).alias("date"))
-    per_period = per_day.join(starts, "date_id").groupBy("date").agg(
-        F.sum("opened").alias("opened"), F.sum("closed").alias("closed")
-    )
     return params.last_periods(per_period, limit)
 
 

@@ -60,15 +60,12 @@ def pr_timeline(
     dates = ["created_date_id", "merged_date_id", "closed_date_id"]
     prs = params.where_equal(star.prs, repository_id=repository_id).select(*dates, "is_merged")
     day = F.col("date_id")
-    per_day = touched_dates(prs, dates).groupBy("date_id").agg(
+    starts = star.date.select("date_id", times.period_start(period, F.col("full_date")).alias("date"))
+    per_period = touched_dates(prs, dates).join(starts, "date_id").groupBy("date").agg(
         F.count_if(F.col("created_date_id") == day).alias("opened"),
         F.count_if(F.col("merged_date_id") == day).alias("merged"),
         F.count_if((F.col("closed_date_id") == day) & ~F.col("is_merged")).alias("closed"),
     )
-    starts = star.date.select("date_id", times.period_start(period, F.col("full_date")).alias("date"))
-    per_period = per_day.join(starts, "date_id").groupBy("date").agg(
-        *[F.sum(c).alias(c) for c in ("opened", "merged", "closed")]
-    )
     return params.last_periods(per_period, limit)
 
 

@@ -6,10 +6,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgemart import schemas
+from forgemart.operators.dedup import latest_by_key
+from forgemart.operators.incremental import touched_partitions, upsert
+from forgemart.session import scratch_path
 
 LANDED = ("year", "month", "day")
 
@@ -120,3 +123,41 @@ def load_report(frames: Mapping[str, DataFrame]) -> DataFrame:
     for count in counts[1:]:
         report = report.unionByName(count)
     return report
+
+
+def upsert_silver(
+    spark: SparkSession,
+    paths: LakePaths,
+    entity: str,
+    new: DataFrame,
+    key: Sequence[str],
+    part_cols: Sequence[str],
+    order: Sequence[Column] = (),
+) -> None:
+    """Merge rows into a partitioned silver table by key, rewriting only the partitions that change.
+
+    The merged partitions are first written to the scratch folder, so the table is never read while it is
+    overwritten. Running the same delta again changes nothing.
+    """
+    table = read_silver(spark, paths, entity)
+    if table is None:
+        write_silver(latest_by_key(new, key, order), paths, entity, part_cols)
+        return
+    stored, incoming = touched_partitions(table, new, key, part_cols)
+    staged = scratch_path(spark, f"upsert-{entity}")
+    merged = upsert(stored, incoming.select(*table.columns), key, order)
+    merged.hint("rebalance", *[F.col(c) for c in part_cols]).write.partitionBy(*part_cols).parquet(staged)
+    result = spark.read.schema(table.schema).parquet(staged)
+    # A partition all of whose rows moved elsewhere has nothing to overwrite it with; there is at most one row
+    # per partition here.
+    emptied = stored.select(*part_cols).distinct().join(
+        result.select(*part_cols).distinct(), list(part_cols), "left_anti"
+    ).collect()
+    write_silver(result, paths, entity, part_cols, only_touched=True)
+    for row in emptied:
+        _delete(spark, paths.silver(entity) + "".join(f"/{c}={row[c]}" for c in part_cols))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop_path, True)
