@@ -12,8 +12,9 @@ from forgemart.plans import bronze, star
 _DAY = "o_orderdate"
 
 
-def _orders(*columns):
-    return lambda spark, d: table(spark, d, "orders").select("o_orderkey", *columns)
+def _orders(columns):
+    """``columns`` builds the expressions; they need a running session."""
+    return lambda spark, d: table(spark, d, "orders").select("o_orderkey", *columns())
 
 
 def _calendar(column):
@@ -26,7 +27,7 @@ _MAPS = """
 
 CASES = {
     "F1_date_id": (
-        _orders(times.date_id(F.col(_DAY)).alias("date_id")),
+        _orders(lambda: [times.date_id(F.col(_DAY)).alias("date_id")]),
         "SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_id FROM orders",
     ),
     "F2_calendar_parts": (
@@ -82,15 +83,15 @@ CASES = {
            FROM orders""",
     ),
     "F10_conditionals": (
-        _orders(
+        _orders(lambda: [
             F.coalesce(F.nullif(F.col("o_orderstatus"), F.lit("O")), F.lit("none")).alias("status"),
             F.when(F.col("o_totalprice") > 200000, "large").otherwise("small").alias("size"),
-        ),
+        ]),
         """SELECT o_orderkey, coalesce(nullif(o_orderstatus, 'O'), 'none') AS status,
                   CASE WHEN o_totalprice > 200000 THEN 'large' ELSE 'small' END AS size FROM orders""",
     ),
     "F11_one_decimal": (
-        _orders(numbers.one_place(F.col("o_totalprice")).alias("rounded")),
+        _orders(lambda: [numbers.one_place(F.col("o_totalprice")).alias("rounded")]),
         """SELECT o_orderkey, CAST(round(CAST(o_totalprice AS DECIMAL(38, 6)), 1) AS DOUBLE) AS rounded FROM orders""",
     ),
     "F12_map_entries": (
