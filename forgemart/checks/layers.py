@@ -230,14 +230,14 @@ def _run_log(spark, sf_dir):
     path = scratch_path(spark, "run-log")
     stamp = F.lit("2024-02-03 04:05:06")
     bronze.append_run_log(bronze.run_summary(frames, "r1", stamp, stamp, errors), path)
-    back = spark.read.schema(schemas.RUN_LOG).parquet(path)
+    back = spark.read.schema(schemas.RUN_LOG_DDL).parquet(path)
     return flat(back.drop("started_at", "completed_at"))
 
 
 def _validated_dates(spark, sf_dir):
     """Rows rejected for impossible or missing values, with every reason."""
     records = bronze_records(spark, sf_dir, "pull_requests").filter("day = 2")
-    typed = silver.typed_select(records, schemas.SILVER["pull_requests"], schemas.RENAMES["pull_requests"])
+    typed = silver.typed_select(records, schemas.silver("pull_requests"), schemas.RENAMES["pull_requests"])
     _, rejected = quality.validate(typed, [
         ("no creation date", F.col("created_at").isNull()),
         ("merged before created", F.col("merged_at") < F.col("created_at")),
@@ -360,7 +360,7 @@ CASES = {
                 F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("login"),
                 F.col("o_orderstatus").alias("repository_full_name"), F.lit("").alias("avatar_url"),
                 F.lit("Bot").alias("type"), F.lit("").alias("html_url")),
-            schemas.SILVER["contributors"], schemas.RENAMES["contributors"]),
+            schemas.silver("contributors"), schemas.RENAMES["contributors"]),
         """SELECT o_orderkey AS github_user_id, o_orderpriority AS login, o_orderstatus AS repository_full_name,
                   CAST(CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS INTEGER) AS contributions,
                   '' AS avatar_url, 'Bot' AS user_type, '' AS html_url FROM orders""",

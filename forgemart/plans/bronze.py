@@ -112,7 +112,7 @@ def normalize(entity: str, raw: DataFrame) -> DataFrame:
         raw = drop_pr_issues(raw)
     mapped = _MAPPED[entity]()
     return raw.select(
-        *[mapped.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in schemas.BRONZE[entity]]
+        *[mapped.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in schemas.bronze(entity)]
     )
 
 

@@ -53,7 +53,7 @@ def clean(entity: str, bronze: DataFrame) -> DataFrame:
     landed = _landing_day(bronze)
     typed = typed_select(
         bronze.withColumn("_landed", landed),
-        T.StructType([*schemas.SILVER[entity], T.StructField("_landed", T.IntegerType())]),
+        T.StructType([*schemas.silver(entity), T.StructField("_landed", T.IntegerType())]),
         schemas.RENAMES.get(entity, {}),
     )
     moment = schemas.EVENT_TIME.get(entity)

@@ -197,11 +197,17 @@ RUN_LOG_DDL = """
 
 
 def struct(ddl: str) -> T.StructType:
+    """DDL as a schema; Spark parses it, so a session must exist."""
     return T.StructType.fromDDL(ddl)
 
 
-RAW = {name: struct(ddl) for name, ddl in RAW_DDL.items()}
-BRONZE = {name: struct(ddl) for name, ddl in BRONZE_DDL.items()}
-SILVER = {name: struct(ddl) for name, ddl in SILVER_DDL.items()}
-GOLD = {name: struct(ddl) for name, ddl in GOLD_DDL.items()}
-RUN_LOG = struct(RUN_LOG_DDL)
+def bronze(entity: str) -> T.StructType:
+    return struct(BRONZE_DDL[entity])
+
+
+def silver(entity: str) -> T.StructType:
+    return struct(SILVER_DDL[entity])
+
+
+def gold(table: str) -> T.StructType:
+    return struct(GOLD_DDL[table])
