@@ -7,6 +7,7 @@ frame covers the whole of the tables it is made from.
 from __future__ import annotations
 
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -158,16 +159,23 @@ def repo_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class BoundStar(Star):
+    """A star whose tables are opened when a query first asks for them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        object.__setattr__(self, "_source", (spark, sf_dir))
+
+    repo = cached_property(lambda self: repositories(*self._source))
+    user = cached_property(lambda self: users(*self._source))
+    date = cached_property(lambda self: dim_date(self._source[0], date(1995, 1, 1), date(2030, 12, 31)))
+    commits = cached_property(lambda self: commits(*self._source))
+    prs = cached_property(lambda self: pull_requests(*self._source))
+    issues = cached_property(lambda self: issues(*self._source))
+    languages = cached_property(lambda self: repo_bytes(*self._source))
+
+
 def bind(spark: SparkSession, sf_dir: str) -> Star:
-    return Star(
-        repo=repositories(spark, sf_dir),
-        user=users(spark, sf_dir),
-        date=dim_date(spark, date(1995, 1, 1), date(2030, 12, 31)),
-        commits=commits(spark, sf_dir),
-        prs=pull_requests(spark, sf_dir),
-        issues=issues(spark, sf_dir),
-        languages=repo_bytes(spark, sf_dir),
-    )
+    return BoundStar(spark, sf_dir)
 
 
 # --- Raw payloads -----------------------------------------------------------------------------------------

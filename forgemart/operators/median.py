@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,17 +14,19 @@ BUCKET_HOURS = 32768 / 3600.0
 
 
 def grouped_median(df: DataFrame, keys: Sequence[str], hours: str, name: str) -> DataFrame:
-    """``keys`` and the interpolated median of ``hours``; nulls are ignored and empty groups left out.
+    """``keys`` and the interpolated median of ``hours``; null values, null keys and empty groups are left out.
 
     Values are counted per (key, value) before the first shuffle. Bucket totals locate the bucket or two that
-    hold the middle ranks, and only the counted values of those buckets are ranked.
+    hold the middle ranks, and only the counted values of those buckets are ranked. All conditions the join
+    would add are stated up front: both its sides then read the same shuffle, so the input is scanned once.
     """
     keys = list(keys)
+    bucket = F.floor(F.col(hours) / F.lit(BUCKET_HOURS))
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, hours]], bucket.isNotNull())
     counted = (
-        df.filter(F.col(hours).isNotNull())
-        .groupBy(*keys, F.col(hours).alias("_value"))
+        df.filter(known)
+        .groupBy(*keys, F.col(hours).alias("_value"), bucket.alias("_bucket"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.floor(F.col("_value") / F.lit(BUCKET_HOURS)))
     )
     group = Window.partitionBy(*keys)
     upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)

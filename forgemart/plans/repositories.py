@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +23,7 @@ def repository_overview(star: Star, compat_fanout: bool = False) -> DataFrame:
     Each fact is reduced to one row per repository before the join. ``compat_fanout`` gives the line sums of a
     plain three-way join, where every commit repeats once per pull request and issue.
     """
-    filled = _overview(star.repo, star)
+    filled = _overview(star.repo, star.commits, star.prs, star.issues)
     if not compat_fanout:
         return filled
     one = F.lit(1).cast("bigint")
@@ -33,35 +31,24 @@ def repository_overview(star: Star, compat_fanout: bool = False) -> DataFrame:
     return filled.withColumns({c: F.col(c) * copies for c in ("total_additions", "total_deletions")})
 
 
-def _overview(repo: DataFrame, star: Star) -> DataFrame:
+def _overview(repo: DataFrame, commits: DataFrame, prs: DataFrame, issues: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
-    commits = star.commits.groupBy("repository_id").agg(
+    per_repo = commits.groupBy("repository_id").agg(
         n.alias("total_commits"),
         long_sum(F.col("additions")).alias("total_additions"),
         long_sum(F.col("deletions")).alias("total_deletions"),
     )
     joined = (
         repo.select(*_SHOWN)
-        .join(commits, "repository_id", "left")
-        .join(star.prs.groupBy("repository_id").agg(n.alias("total_prs")), "repository_id", "left")
-        .join(star.issues.groupBy("repository_id").agg(n.alias("total_issues")), "repository_id", "left")
+        .join(per_repo, "repository_id", "left")
+        .join(prs.groupBy("repository_id").agg(n.alias("total_prs")), "repository_id", "left")
+        .join(issues.groupBy("repository_id").agg(n.alias("total_issues")), "repository_id", "left")
     )
     return joined.select(
         *_SHOWN, *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in _COUNTS]
     )
 
 
-def _facts_of(star: Star, repo: DataFrame) -> Star:
-    """The star with its facts cut down to a handful of repositories before they are aggregated."""
-    ids = repo.select("repository_id")
-    return replace(
-        star,
-        commits=star.commits.join(ids, "repository_id", "left_semi"),
-        prs=star.prs.join(ids, "repository_id", "left_semi"),
-        issues=star.issues.join(ids, "repository_id", "left_semi"),
-    )
-
-
 def list_repositories(
     star: Star,
     sort_by: str = "stars_count",
@@ -79,10 +66,13 @@ def list_repositories(
     ranked = [column.desc_nulls_first() if order == "desc" else column.asc_nulls_last(), F.col("repository_id")]
     repo = params.where_equal(star.repo, language=language or None)
     if sort_by == "total_commits":
-        return _overview(repo, star).orderBy(*ranked).offset(offset).limit(limit)
-    # Sorting by an attribute needs no facts: pick the page first, then count for at most 200 repositories.
+        counted = _overview(repo, star.commits, star.prs, star.issues)
+        return counted.orderBy(*ranked).offset(offset).limit(limit)
+    # Sorting by an attribute needs no facts: pick the page first, then count for its at most 200 repositories.
     page = repo.orderBy(*ranked).offset(offset).limit(limit)
-    return _overview(page, _facts_of(star, page)).orderBy(*ranked)
+    shown = page.select("repository_id")
+    facts = [df.join(shown, "repository_id", "left_semi") for df in (star.commits, star.prs, star.issues)]
+    return _overview(page, *facts).orderBy(*ranked)
 
 
 def count_repositories(star: Star, language: str | None = None) -> DataFrame:
@@ -93,11 +83,8 @@ def count_repositories(star: Star, language: str | None = None) -> DataFrame:
 
 def get_repository(star: Star, repository_id: int) -> DataFrame:
     """The overview of one repository; empty when there is none with that id."""
-    def only(df: DataFrame) -> DataFrame:
-        return params.where_equal(df, repository_id=repository_id)
-
-    narrowed = replace(star, commits=only(star.commits), prs=only(star.prs), issues=only(star.issues))
-    return _overview(only(star.repo), narrowed)
+    frames = (star.repo, star.commits, star.prs, star.issues)
+    return _overview(*[params.where_equal(df, repository_id=repository_id) for df in frames])
 
 
 def unique_languages(star: Star) -> DataFrame:
