@@ -12,7 +12,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgemart.functions import times
+from forgemart import schemas
+from forgemart.functions import numbers, times
 from forgemart.operators.dedup import latest_by_key
 from forgemart.plans.star import Star, dim_date
 
@@ -524,3 +525,47 @@ def silver_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_sub(F.col("l_shipdate"), F.col("l_linenumber")).cast("timestamp").alias("created_at"),
         closed.alias("closed_at"),
     ).withColumn("time_to_close_hours", times.hours_between(F.col("created_at"), F.col("closed_at")))
+
+
+def silver_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = repositories(spark, sf_dir)
+    return known.select(
+        *[
+            (F.col(f.name) if f.name in known.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schemas.silver("repositories")
+        ]
+    )
+
+
+def silver_contributors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return users(spark, sf_dir).select(
+        F.col("user_id").alias("github_user_id"),
+        "login",
+        F.lit(_MISSING).alias("repository_full_name"),
+        F.lit(1).alias("contributions"),
+        "avatar_url",
+        F.lit("User").alias("user_type"),
+        F.lit(None).cast("string").alias("html_url"),
+    )
+
+
+def silver_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One map per repository; the entries per map are the part types."""
+    entries = F.map_from_entries(F.collect_list(F.struct("language", "bytes")))
+    maps = repo_bytes(spark, sf_dir).groupBy("repository_id").agg(entries.alias("languages"))
+    names = repositories(spark, sf_dir).select("repository_id", F.col("full_name").alias("repository_full_name"))
+    return maps.join(names, "repository_id").select(
+        "repository_full_name", "languages", numbers.map_total(F.col("languages")).alias("total_bytes")
+    )
+
+
+def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Silver tables that belong together: most facts refer to repositories and users that exist."""
+    return {
+        "repositories": silver_repositories(spark, sf_dir),
+        "commits": silver_commits(spark, sf_dir),
+        "pull_requests": silver_pull_requests(spark, sf_dir),
+        "issues": silver_issues(spark, sf_dir),
+        "contributors": silver_contributors(spark, sf_dir),
+        "languages": silver_languages(spark, sf_dir),
+    }

@@ -305,7 +305,7 @@ CASES = {
                       row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, CAST(event_id AS VARCHAR)) AS rn
                FROM events) WHERE rn <= 200""",
     ),
-    "N11_cap_beyond_the_planner_limit": (
+    "N11_large_caps": (
         lambda spark, d: dedup.cap_per_key(
             table(spark, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey"),
             ["l_returnflag"], [F.col("l_shipdate").desc()], 1500),

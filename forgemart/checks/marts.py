@@ -411,7 +411,7 @@ CASES = {
             FROM (SELECT {_PR_COUNTS} FROM fp)"""),
     ),
     "H3_contributor_shares": (
-        _on(lambda s: commits.contributor_shares(commits.top_contributors(s, limit=10))),
+        _on(commits.contributor_shares),
         sql("usr fc", f"""
             SELECT CAST(row_number() OVER (ORDER BY total_commits DESC, login) AS INTEGER) AS rank, login, total_commits,
                    total_commits / max(total_commits) OVER () * 100 AS share_of_top

@@ -1,7 +1,8 @@
 """Keep one row, or the first n rows, per key.
 
 ``row_number() <= n`` is planned with a per-task limit in front of the shuffle, so a key with a third of all
-rows ships at most n rows per task rather than every copy.
+rows ships at most n rows per task rather than every copy. For n above one that may still be too much for the
+one task that ranks the key, so its rows are first ranked in salted slices.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SALTS = 256
+SLICES = 256
 
 
 def _tie_break(df: DataFrame, skip: Sequence[str] = ()) -> list[Column]:
@@ -30,28 +31,20 @@ def _tie_break(df: DataFrame, skip: Sequence[str] = ()) -> list[Column]:
 
 def latest_by_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first by ``order`` and then by every other column."""
-    return cap_per_key(df, key, order, 1)
+    return _first_rows(df, key, [*order, *_tie_break(df, key)], 1)
 
 
 def cap_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """The first ``n`` rows of every key by ``order``."""
+    """The first ``n`` rows of every key by ``order`` and then by every other column."""
     if n < 1:
         raise ValueError("n must be at least 1")
     ranking = [*order, *_tie_break(df, key)]
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > limit:
-        # Beyond the planner's own pre-limit: first cut every salted slice of the key to n rows.
-        salt = F.pmod(F.xxhash64(*[c for c in df.columns if not _is_map(df, c)]), F.lit(SALTS))
-        sliced = Window.partitionBy(*key, "_salt").orderBy(*ranking)
-        df = (
-            df.withColumn("_salt", salt)
-            .withColumn("_rank", F.row_number().over(sliced))
-            .filter(F.col("_rank") <= n)
-            .drop("_salt", "_rank")
-        )
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*ranking)))
-    return ranked.filter(F.col("_rank") <= n).drop("_rank")
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    # A slice is a function of the row alone, so a task that runs again cuts the same slices.
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*plain), F.lit(SLICES)))
+    return _first_rows(_first_rows(sliced, [*key, "_slice"], ranking, n).drop("_slice"), key, ranking, n)
 
 
-def _is_map(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.MapType)
+def _first_rows(df: DataFrame, key: Sequence[str], ranking: Sequence[Column], n: int) -> DataFrame:
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*ranking)))
+    return ranked.filter(F.col("_rank") <= n).drop("_rank")

@@ -79,11 +79,12 @@ def top_contributors(star: Star, repository_id: int | None = None, limit: int |
     return ranked if limit is None else ranked.limit(limit)
 
 
-def contributor_shares(top: DataFrame) -> DataFrame:
-    """Rank of each listed contributor and commits as a percentage of the first one's.
+def contributor_shares(star: Star, repository_id: int | None = None, limit: int = 10) -> DataFrame:
+    """Rank of each of the top contributors and commits as a percentage of the first one's.
 
-    ``top`` is a limited contributor list, so ranking it in one place is cheap.
+    At most 100 rows are ranked, so ranking them in one place is cheap.
     """
+    top = top_contributors(star, repository_id, limit)
     order = Window.orderBy(F.col("total_commits").desc(), "login")
     everyone = Window.partitionBy()
     return top.select(

@@ -14,11 +14,15 @@ from forgemart.plans.star import Star
 
 def core_counts(star: Star) -> DataFrame:
     """One row with the size of every table and the star and fork totals."""
+    return star.repo.sparkSession.range(1).select(*_core_columns(star))
+
+
+def _core_columns(star: Star) -> list[Column]:
     n = F.count(F.lit(1))
     repo = star.repo.agg(
         n.alias("n"), long_sum(F.col("stars_count")).alias("stars"), long_sum(F.col("forks_count")).alias("forks")
     ).select(F.struct("*")).scalar()
-    return star.repo.sparkSession.range(1).select(
+    return [
         repo["n"].alias("total_repositories"),
         star.commits.agg(n).scalar().alias("total_commits"),
         star.prs.agg(n).scalar().alias("total_pull_requests"),
@@ -26,7 +30,7 @@ def core_counts(star: Star) -> DataFrame:
         star.user.agg(F.count_distinct("login")).scalar().alias("total_contributors"),
         repo["stars"].alias("total_stars"),
         repo["forks"].alias("total_forks"),
-    )
+    ]
 
 
 def _by_bytes(languages: DataFrame) -> DataFrame:
@@ -68,8 +72,8 @@ def dashboard_summary(star: Star, as_of: date | None = None) -> DataFrame:
     timeline = commits.dense_commit_timeline(star, as_of)
     top = commits.top_contributors(star, limit=10)
     languages = language_distribution(star)
-    parts = core_counts(star).select(
-        "*",
+    parts = star.repo.sparkSession.range(1).select(
+        *_core_columns(star),
         top_language(star).scalar().alias("top_language"),
         commits.recent_commits(star, moment).scalar().alias("recent_commits_30d"),
         _rows(timeline, F.col("date")).alias("commit_timeline"),

@@ -15,6 +15,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # First-n-per-key queries cut every key to n rows in each task before the shuffle, whatever n is.
+    "spark.sql.optimizer.windowGroupLimitThreshold": str(2**31 - 1),
+    # Sessions of a busy key are merged where they are read, before they are shuffled.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 _test_roots: dict[str, str] = {}

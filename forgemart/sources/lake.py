@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ class LakePaths:
     root: str
     bronze_prefix: str = "bronze"
     silver_prefix: str = "silver"
+    gold_prefix: str = "gold"
 
     def bronze(self, entity: str) -> str:
         return f"{self.root.rstrip('/')}/{self.bronze_prefix}/{entity}"
@@ -31,10 +33,18 @@ class LakePaths:
     def silver(self, entity: str) -> str:
         return f"{self.root.rstrip('/')}/{self.silver_prefix}/{entity}"
 
+    def gold(self, table: str) -> str:
+        return f"{self.root.rstrip('/')}/{self.gold_prefix}/{table}"
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _file_system(spark, path)
+    return files.exists(hadoop_path)
 
 
 def read_bronze(
@@ -46,10 +56,10 @@ def read_bronze(
     those, so land large feeds with :func:`write_bronze`, whose line-per-record files it can. Lines that do
     not fit the schema come back with ``_corrupt_record`` set. ``since`` prunes partitions.
     """
+    schema = schemas.struct(schemas.BRONZE_DDL[entity] + ", _corrupt_record STRING")
     path = paths.bronze(entity)
     if not path_exists(spark, path):
         return None
-    schema = schemas.struct(schemas.BRONZE_DDL[entity] + ", _corrupt_record STRING")
     df = spark.read.schema(schema).option("multiLine", multi_line).json(path)
     if any(c not in df.columns for c in LANDED):
         return None  # a folder without partitions holds no landed files
@@ -77,9 +87,20 @@ def write_bronze(df: DataFrame, paths: LakePaths, entity: str, landed: date, mod
     return seen
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stored table; None when it does not exist or its folder is empty. A damaged table raises."""
+    if not path_exists(spark, path):
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+
+
 def read_silver(spark: SparkSession, paths: LakePaths, entity: str) -> DataFrame | None:
-    path = paths.silver(entity)
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+    return read_table(spark, paths.silver(entity))
 
 
 def write_silver(
@@ -90,20 +111,27 @@ def write_silver(
     mode: str = "overwrite",
     only_touched: bool = False,
 ) -> Observation:
-    """Write a silver table; the returned observation holds the row count of that same pass.
+    """Write a silver table; the returned observation holds the row count of that same pass."""
+    return write_table(df, paths.silver(entity), part_cols, mode, only_touched)
+
+
+def write_table(
+    df: DataFrame, path: str, part_cols: Sequence[str] = (), mode: str = "overwrite", only_touched: bool = False
+) -> Observation:
+    """Write Parquet and count the rows while they pass.
 
     A partitioned table is rebalanced on its partition columns first: small partitions are packed into few
     files and a partition that holds most rows is split over many tasks. ``only_touched`` replaces just the
     partitions present in ``df``.
     """
-    counted, seen = counted_rows(df, f"silver_{entity}")
+    counted, seen = counted_rows(df, path)
     if part_cols:
         counted = counted.hint("rebalance", *[F.col(c) for c in part_cols])
     writer = counted.write.mode(mode)
     writer = writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static")
     if part_cols:
         writer = writer.partitionBy(*part_cols)
-    writer.parquet(paths.silver(entity))
+    writer.parquet(path)
     return seen
 
 
@@ -125,39 +153,50 @@ def load_report(frames: Mapping[str, DataFrame]) -> DataFrame:
     return report
 
 
-def upsert_silver(
+def upsert_table(
     spark: SparkSession,
-    paths: LakePaths,
-    entity: str,
+    path: str,
     new: DataFrame,
     key: Sequence[str],
     part_cols: Sequence[str],
     order: Sequence[Column] = (),
 ) -> None:
-    """Merge rows into a partitioned silver table by key, rewriting only the partitions that change.
+    """Merge rows into a partitioned table by key, rewriting only the partitions that change.
 
-    The merged partitions are first written to the scratch folder, so the table is never read while it is
-    overwritten. Running the same delta again changes nothing.
+    ``new`` is read several times, so pass a stored table. The merged partitions are first written to the
+    scratch folder: the table is never read while it is overwritten. Running the same delta again changes
+    nothing.
     """
-    table = read_silver(spark, paths, entity)
+    table = read_table(spark, path)
     if table is None:
-        write_silver(latest_by_key(new, key, order), paths, entity, part_cols)
+        write_table(latest_by_key(new, key, order), path, part_cols)
         return
-    stored, incoming = touched_partitions(table, new, key, part_cols)
-    staged = scratch_path(spark, f"upsert-{entity}")
-    merged = upsert(stored, incoming.select(*table.columns), key, order)
-    merged.hint("rebalance", *[F.col(c) for c in part_cols]).write.partitionBy(*part_cols).parquet(staged)
+    stored, incoming = touched_partitions(table, new.select(*table.columns), key, part_cols)
+    staged = scratch_path(spark, "upsert")
+    write_table(upsert(stored, incoming, key, order), staged)
     result = spark.read.schema(table.schema).parquet(staged)
-    # A partition all of whose rows moved elsewhere has nothing to overwrite it with; there is at most one row
-    # per partition here.
+    # A partition all of whose rows moved elsewhere has nothing to overwrite it with. These frames hold one
+    # row per partition of the table.
     emptied = stored.select(*part_cols).distinct().join(
         result.select(*part_cols).distinct(), list(part_cols), "left_anti"
     ).collect()
-    write_silver(result, paths, entity, part_cols, only_touched=True)
+    write_table(result, path, part_cols, only_touched=True)
     for row in emptied:
-        _delete(spark, paths.silver(entity) + "".join(f"/{c}={row[c]}" for c in part_cols))
+        _delete(spark, path + "".join(f"/{c}={row[c]}" for c in part_cols))
+
+
+def upsert_silver(
+    spark: SparkSession,
+    paths: LakePaths,
+    entity: str,
+    new: DataFrame,
+    key: Sequence[str],
+    part_cols: Sequence[str],
+    order: Sequence[Column] = (),
+) -> None:
+    upsert_table(spark, paths.silver(entity), new, key, part_cols, order)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop_path, True)
+    files, hadoop_path = _file_system(spark, path)
+    files.delete(hadoop_path, True)
