@@ -16,11 +16,15 @@ COMMITS_PER_PAGE = 100
 
 
 def parse_payloads(texts_df: DataFrame, entity: str, column: str = "payload") -> DataFrame:
-    """JSON text to typed payload columns; text that does not fit the schema is kept in ``_corrupt_record``."""
+    """JSON text to typed payload columns; text that does not fit the schema is kept in ``_corrupt_record``.
+
+    The parsed payload goes through a generator: conditions on it are not pushed below, which would parse every
+    text once more.
+    """
     schema = schemas.struct(schemas.RAW_DDL[entity] + ", _corrupt_record STRING")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = texts_df.withColumn("_p", F.from_json(F.col(column), schema, options))
-    return parsed.select(*[c for c in texts_df.columns if c != column], "_p.*")
+    payload = F.from_json(F.col(column), schema, options)
+    return texts_df.select(*[c for c in texts_df.columns if c != column], F.inline(F.array(payload)))
 
 
 def _or(column: str, default: object) -> Column:
