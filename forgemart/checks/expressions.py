@@ -109,7 +109,7 @@ CASES = {
         lambda spark, d: flat(table(spark, d, "orders").select("o_orderkey", F.array(
             F.struct(F.col("o_orderpriority").alias("name")),
             F.struct(F.nullif(F.col("o_orderstatus"), F.lit("O")).alias("name"))).alias("labels"))
-            .select("o_orderkey", bronze._names("labels", "name").alias("names"))),
+            .select("o_orderkey", bronze.names_of("labels", "name").alias("names"))),
         """SELECT o_orderkey, o_orderpriority || ',' || coalesce(nullif(o_orderstatus, 'O'), '') AS names FROM orders""",
     ),
     "F15_owner_and_name": (

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from forgemart import schemas
 from forgemart.bindings import bronze_records, raw_payloads, silver_commits, table
 from forgemart.checks.base import flat, iso, sql
-from forgemart.functions import numbers, texts, times
+from forgemart.functions import times
 from forgemart.operators import dedup, quality
-from forgemart.plans import bronze, silver, star
+from forgemart.plans import bronze, silver
 from forgemart.session import scratch_path
 from forgemart.sources import lake
 

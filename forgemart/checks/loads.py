@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from forgemart import bindings, schemas
 from forgemart.bindings import bind, bronze_records, table
 from forgemart.checks.base import flat, sql
-from forgemart.checks.layers import _C1, _N6
-from forgemart.functions import times
+from forgemart.checks.layers import _C1
 from forgemart.operators import incremental, keys, quality
 from forgemart.plans import bronze, silver, star
 from forgemart.session import scratch_path
@@ -269,6 +268,13 @@ CASES = {
            FROM (SELECT l_suppkey, p_type, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bytes
                  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)""",
     ),
+    "G10_column_defaults": (
+        lambda spark, d: star.with_defaults("dim_user", bindings.users(spark, d)),
+        """SELECT c_custkey AS user_id, CAST(NULL AS BIGINT) AS github_user_id, c_name AS login,
+                  CASE WHEN c_custkey % 7 <> 0 THEN 'https://img.example/' || c_custkey END AS avatar_url,
+                  'User' AS user_type, CAST(NULL AS VARCHAR) AS html_url, CAST(NULL AS TIMESTAMP) AS etl_loaded_at
+           FROM customer""",
+    ),
     "G9_star_row_counts": (_star_counts, _STAR_COUNTS),
     "G9_star_loaded_again": (_star_loaded_again, sql("sc sp si usr rl", _LOADED_COUNTS)),
     "U2_table_counts": (

@@ -11,7 +11,7 @@ PERIODS = {"daily": "day", "weekly": "week", "monthly": "month"}
 
 def parse_time(text: Column) -> Column:
     """ISO-8601 text as a timestamp; blank or malformed text becomes null even under ANSI mode."""
-    return F.try_to_timestamp(F.nullif(F.trim(text), F.lit("")))
+    return F.try_to_timestamp(text)
 
 
 def date_id(ts: Column) -> Column:

@@ -31,7 +31,7 @@ def _or(column: str, default: object) -> Column:
     return F.coalesce(F.col(column), F.lit(default))
 
 
-def _names(items: str, field: str) -> Column:
+def names_of(items: str, field: str) -> Column:
     """One text per element; a missing array becomes an empty one and a missing text ''."""
     empty = F.array().cast("array<string>")
     return F.coalesce(F.transform(items, lambda item: F.coalesce(item[field], F.lit(""))), empty)
@@ -84,7 +84,7 @@ _MAPPED = {
         "additions": _or("additions", 0),
         "deletions": _or("deletions", 0),
         "changed_files": _or("changed_files", 0),
-        "labels": _names("labels", "name"),
+        "labels": names_of("labels", "name"),
         "html_url": _or("html_url", ""),
         "draft": _or("draft", False),
     },
@@ -95,8 +95,8 @@ _MAPPED = {
         "created_at": _or("created_at", ""),
         "updated_at": _or("updated_at", ""),
         "comments_count": _or("comments", 0),
-        "labels": _names("labels", "name"),
-        "assignees": _names("assignees", "login"),
+        "labels": names_of("labels", "name"),
+        "assignees": names_of("assignees", "login"),
         "milestone": F.col("milestone.title"),
         "html_url": _or("html_url", ""),
     },
@@ -126,9 +126,13 @@ def drop_pr_issues(raw: DataFrame) -> DataFrame:
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Readable records, and the texts of the others."""
+    """Readable records, and the others with their texts.
+
+    Spark refuses to read nothing but the text column from JSON files, so store the second frame before
+    counting it.
+    """
     bad = F.col("_corrupt_record").isNotNull()
-    return df.filter(~bad).drop("_corrupt_record"), df.filter(bad).select("_corrupt_record")
+    return df.filter(~bad).drop("_corrupt_record"), df.filter(bad)
 
 
 def allow_repos(df: DataFrame, names: Sequence[str], column: str = "full_name") -> tuple[DataFrame, list[str]]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,5 +76,11 @@ def _landing_day(bronze: DataFrame) -> Column:
     return F.lit(None).cast("int")
 
 
+def empty(spark: SparkSession, entity: str) -> DataFrame:
+    """A silver table without rows."""
+    raw = spark.createDataFrame([], schemas.bronze(entity))
+    return clean(entity, raw)
+
+
 def partition_columns(entity: str) -> list[str]:
     return PARTITIONS if entity in schemas.EVENT_TIME else []

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forgemart import schemas
 from forgemart.functions import times
 from forgemart.operators import keys
 from forgemart.operators.dedup import latest_by_key
@@ -43,6 +44,17 @@ class Star:
         }
 
 
+def with_defaults(table: str, df: DataFrame) -> DataFrame:
+    """All columns of a gold table, those ``df`` lacks with their default; a null that is given stays null."""
+    defaults = schemas.DEFAULTS[table]
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(defaults.get(f.name))).cast(f.dataType).alias(f.name)
+            for f in schemas.gold(table)
+        ]
+    )
+
+
 def calendar_of(days: DataFrame, column: str, padded_names: bool = False) -> DataFrame:
     """Calendar attributes of a frame of dates.
 

@@ -160,6 +160,23 @@ GOLD_DDL = {
     "repo_languages": "id BIGINT, repository_id BIGINT, language STRING, bytes BIGINT, percentage DOUBLE",
 }
 
+# What a column left out of a load gets; the other columns get null.
+DEFAULTS = {
+    "dim_date": {"is_weekend": False},
+    "dim_repository": {
+        "default_branch": "main", "is_private": False, "is_fork": False, "stars_count": 0, "forks_count": 0,
+        "watchers_count": 0, "open_issues_count": 0, "size_kb": 0,
+    },
+    "dim_user": {"user_type": "User"},
+    "fact_commits": {"additions": 0, "deletions": 0, "files_changed": 0},
+    "fact_pull_requests": {
+        "is_merged": False, "is_draft": False, "comments_count": 0, "review_comments_count": 0,
+        "commits_count": 0, "additions": 0, "deletions": 0, "changed_files": 0,
+    },
+    "fact_issues": {"comments_count": 0},
+    "repo_languages": {"bytes": 0, "percentage": 0.0},
+}
+
 # Constraints of the star schema, used by the quality checks.
 UNIQUE = {
     "dim_date": [["date_id"], ["full_date"]],

@@ -8,11 +8,11 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forgemart import schemas
 from forgemart.operators.incremental import upsert
 from forgemart.plans import star as build
 from forgemart.plans.star import Star
-from forgemart.session import scratch_path
-from forgemart.sources.lake import LakePaths, read_table, upsert_table, write_table
+from forgemart.sources.lake import LakePaths, read_table, staged, upsert_table, write_table
 
 # Fact table, its natural key and the time that places it in a partition.
 _FACTS = {
@@ -41,10 +41,10 @@ def load_star(
     repositories go to ``rejected_<table>`` instead.
     """
     def dimension(name: str, make, key: str) -> DataFrame:
-        before = None if previous_id is None else read_table(spark, f"{paths.gold(name)}/load={previous_id}")
+        before = None if previous_id is None else _stored(spark, name, f"{paths.gold(name)}/load={previous_id}")
         fresh = make(before)
         write_table(fresh if before is None else upsert(before, fresh, [key]), f"{paths.gold(name)}/load={load_id}")
-        return read_table(spark, f"{paths.gold(name)}/load={load_id}")
+        return _stored(spark, name, f"{paths.gold(name)}/load={load_id}")
 
     sources = [build.contributor_users(silver["contributors"]), build.author_users(silver["commits"])]
     repo = dimension(
@@ -61,19 +61,21 @@ def load_star(
         _load_fact(spark, fact, paths, name, load_id, part_cols)
     languages = f"{paths.gold('repo_languages')}/load={load_id}"
     write_table(build.repo_languages(silver["languages"], repo).filter("repository_id IS NOT NULL"), languages)
-    stored = [read_table(spark, paths.gold(name)).drop(*part_cols) for name in facts]
-    return Star(repo, user, calendar, *stored, read_table(spark, languages))
+    stored = [_stored(spark, name, paths.gold(name)).drop(*part_cols) for name in facts]
+    return Star(repo, user, calendar, *stored, _stored(spark, "repo_languages", languages))
+
+
+def _stored(spark: SparkSession, table: str, path: str) -> DataFrame | None:
+    return read_table(spark, path, schemas.gold(table))
 
 
 def _load_fact(
     spark: SparkSession, fact: DataFrame, paths: LakePaths, name: str, load_id: str, part_cols: Sequence[str]
 ) -> None:
     key, moment = _FACTS[name]
-    staged = scratch_path(spark, name)
     placed = F.col("repository_id").isNotNull()
     times = {"year": F.year(moment), "month": F.month(moment)}
     dated = fact.withColumns({**{c: times[c] for c in part_cols}, "placed": placed})
-    write_table(dated, staged)
-    rows = spark.read.schema(dated.schema).parquet(staged)
+    rows = staged(spark, dated, name).frame
     write_table(rows.filter("NOT placed").drop("placed"), f"{paths.gold('rejected_' + name)}/load={load_id}")
     upsert_table(spark, paths.gold(name), rows.filter("placed").drop("placed"), key, part_cols)

@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from forgemart import schemas
 from forgemart.operators.dedup import latest_by_key
@@ -87,10 +88,15 @@ def write_bronze(df: DataFrame, paths: LakePaths, entity: str, landed: date, mod
     return seen
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """A stored table; None when it does not exist or its folder is empty. A damaged table raises."""
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """A stored table; None when it does not exist, or has neither files nor a given schema.
+
+    A damaged table raises.
+    """
     if not path_exists(spark, path):
         return None
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
@@ -135,6 +141,19 @@ def write_table(
     return seen
 
 
+@dataclass(frozen=True)
+class Staged:
+    frame: DataFrame
+    rows: int
+
+
+def staged(spark: SparkSession, df: DataFrame, name: str) -> Staged:
+    """Store a frame in the scratch folder, for several passes over it that do not compute it again."""
+    path = scratch_path(spark, name)
+    rows = write_table(df, path).get["rows"]
+    return Staged(spark.read.schema(df.schema).parquet(path), rows)
+
+
 def counted_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count rows while they pass; read ``observation.get['rows']`` after the action."""
     seen = Observation(name)
