@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import functions as F
 
-from forgemart import bindings, schemas
+from forgemart import bindings, jobs, schemas
 from forgemart.bindings import bind, bronze_records, table
 from forgemart.checks.base import flat, sql
 from forgemart.checks.layers import _C1
@@ -157,6 +158,34 @@ def _resolved(name, key, frame):
         UNION ALL SELECT '{name}_authors', (SELECT count(*) {known} AND author_login IN (SELECT login FROM everyone))"""
 
 
+def _job(spark, d):
+    """Rows per silver table after landing every record on its day and running the job over the folder."""
+    paths = lake.LakePaths(scratch_path(spark, "lake"))
+    for entity in schemas.ENTITIES:
+        records = bronze_records(spark, d, entity)
+        if "day" not in records.columns:
+            lake.write_bronze(records, paths, entity, date(2024, 2, 1))
+            continue
+        for day in (1, 2):
+            landed = records.filter(F.col("day") == day).drop("year", "month", "day")
+            lake.write_bronze(landed, paths, entity, date(2024, 2, day))
+    counts = jobs.bronze_to_silver(spark, paths)
+    stored = lake.load_report({e: lake.read_silver(spark, paths, e) for e in schemas.ENTITIES})
+    reported = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
+    return stored.withColumn("n_reported", reported[F.col("table_name")].cast("bigint"))
+
+
+_JOB_COUNTS = """
+    SELECT *, n_rows AS n_reported FROM (
+        SELECT 'repositories' AS table_name, count(*) AS n_rows FROM customer
+        UNION ALL SELECT 'contributors', count(*) FROM customer
+        UNION ALL SELECT 'commits', count(*) FROM events WHERE event_id % 19 <> 0
+        UNION ALL SELECT 'pull_requests', count(*) FROM orders WHERE o_orderkey % 23 <> 0
+        UNION ALL SELECT 'issues', count(*) FROM (
+            SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey % 29 <> 0)
+        UNION ALL SELECT 'languages', count(DISTINCT l_suppkey) FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+
+
 _LOADED_COUNTS = f"""
     , everyone AS (SELECT login FROM usr UNION SELECT author_login FROM sc WHERE author_login IS NOT NULL)
     SELECT 'dim_repository' AS table_name, (SELECT count(*) FROM repo) AS n_rows
@@ -268,6 +297,7 @@ CASES = {
            FROM (SELECT l_suppkey, p_type, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bytes
                  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)""",
     ),
+    "S10_bronze_to_silver_job": (_job, _JOB_COUNTS),
     "G10_column_defaults": (
         lambda spark, d: star.with_defaults("dim_user", bindings.users(spark, d)),
         """SELECT c_custkey AS user_id, CAST(NULL AS BIGINT) AS github_user_id, c_name AS login,
