@@ -167,8 +167,8 @@ def _bronze_pruned(spark, sf_dir):
     records = bronze.normalize(
         "contributors", bronze.parse_payloads(raw_payloads(spark, sf_dir, "contributors"), "contributors")
     )
-    lake.write_bronze(records.filter("id % 2 = 0"), paths, "contributors", date(2024, 1, 31))
-    lake.write_bronze(records.filter("id % 2 = 1"), paths, "contributors", date(2024, 2, 1))
+    lake.write_bronze(records.filter("contributions < 10"), paths, "contributors", date(2024, 1, 31))
+    lake.write_bronze(records.filter("contributions >= 10"), paths, "contributors", date(2024, 2, 1))
     return lake.read_bronze(spark, paths, "contributors", since=date(2024, 2, 1)).select("id", "login", "month", "day")
 
 
@@ -413,7 +413,7 @@ CASES = {
     ),
     "S2_partition_pruned_bronze": (
         _bronze_pruned,
-        "SELECT c_custkey AS id, c_name AS login, 2 AS month, 1 AS day FROM customer WHERE c_custkey % 2 = 1",
+        f"SELECT id, login, 2 AS month, 1 AS day FROM ({_N5}) WHERE contributions >= 10",
     ),
     "S3_optional_sources": (
         _all_sources,

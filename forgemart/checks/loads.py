@@ -93,16 +93,17 @@ def _states_outside(spark, d):
 
 def _orders_split(spark, d):
     """Orders as stored, and a delta that changes some and adds others."""
-    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    stored = orders.filter("o_orderkey % 3 <> 0")
-    delta = orders.filter("o_orderkey % 3 = 0 OR o_orderkey % 7 = 0").withColumn(
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    stored = orders.filter("o_orderstatus <> 'O'")
+    delta = orders.filter("o_orderstatus = 'O' OR o_orderpriority = '1-URGENT'").withColumn(
         "o_totalprice", F.col("o_totalprice") + 1)
     return stored, delta
 
 
 _UPSERTED = """
-    SELECT o_orderkey, o_orderstatus,
-           CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+    SELECT o_orderkey, o_orderstatus, o_orderpriority,
+           CASE WHEN o_orderstatus = 'O' OR o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END
+               AS o_totalprice
     FROM orders"""
 
 
@@ -110,9 +111,9 @@ def _upserted_table(spark, d):
     """A partitioned table after a delta that moves some rows to another partition."""
     paths = lake.LakePaths(scratch_path(spark, "lake"))
     orders = table(spark, d, "orders").select(
-        "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+        "o_orderkey", "o_orderpriority", "o_totalprice", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
     lake.write_silver(orders, paths, "orders", ["year", "month"])
-    delta = orders.filter("year = 1997 AND o_orderkey % 2 = 0").withColumns(
+    delta = orders.filter("year = 1997 AND o_orderpriority = '2-HIGH'").withColumns(
         {"o_totalprice": F.col("o_totalprice") + 1, "month": F.lit(12)})
     lake.upsert_silver(spark, paths, "orders", delta, ["o_orderkey"], ["year", "month"])
     return lake.read_silver(spark, paths, "orders")
@@ -138,11 +139,11 @@ def _star_counts(spark, d):
 
 
 def _star_loaded_again(spark, d):
-    """Rows and resolved authors per stored table after a load with half of the users and another with all."""
+    """Rows and resolved authors per stored table after a load with some of the users and another with all."""
     paths = lake.LakePaths(scratch_path(spark, "lake"))
     layers = bindings.silver_tables(spark, d)
-    half = {**layers, "contributors": layers["contributors"].filter("github_user_id % 2 = 0")}
-    gold.load_star(spark, half, paths, "1", part_cols=["year"])
+    some = {**layers, "contributors": layers["contributors"].filter("avatar_url IS NOT NULL")}
+    gold.load_star(spark, some, paths, "1", part_cols=["year"])
     stored = gold.load_star(spark, layers, paths, "2", previous_id="1", part_cols=["year"])
     rejected = lake.read_table(spark, f"{paths.gold('rejected_fact_commits')}/load=2")
     tables = {n: t for n, t in stored.tables().items() if n != "dim_date"}
@@ -365,10 +366,10 @@ CASES = {
     ),
     "E1_upsert_of_partitions": (
         _upserted_table,
-        """SELECT o_orderkey, CASE WHEN y = 1997 AND o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END
-                  AS o_totalprice, y AS year,
-                  CASE WHEN y = 1997 AND o_orderkey % 2 = 0 THEN 12 ELSE CAST(month(o_orderdate) AS INTEGER) END AS month
-           FROM (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders)""",
+        """SELECT o_orderkey, o_orderpriority, CASE WHEN moved THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+                  CAST(year(o_orderdate) AS INTEGER) AS year,
+                  CASE WHEN moved THEN 12 ELSE CAST(month(o_orderdate) AS INTEGER) END AS month
+           FROM (SELECT *, year(o_orderdate) = 1997 AND o_orderpriority = '2-HIGH' AS moved FROM orders)""",
     ),
     "E2_incremental_rows": (
         _incremental,

@@ -58,7 +58,7 @@ def with_defaults(table: str, df: DataFrame) -> DataFrame:
 def calendar_of(days: DataFrame, column: str, padded_names: bool = False) -> DataFrame:
     """Calendar attributes of a frame of dates.
 
-    ``padded_names`` blank-pads month and day names to nine characters, as the original view shows them.
+    ``padded_names`` blank-pads month and day names to nine characters.
     """
     def name(pattern: str) -> Column:
         text = F.date_format(column, pattern)
