@@ -297,14 +297,23 @@ CASES = {
            WHERE rn <= 3""",
     ),
     "N11_cap_commits_per_repository": (
-        lambda spark, d: bronze.cap_commits(table(spark, d, "events").select(
+        lambda spark, d: bronze.cap_feed(table(spark, d, "events").select(
             F.col("event_id").cast("string").alias("sha"), F.col("event_type").alias("repository_full_name"),
-            F.col("ts").alias("author_date")), 2),
+            F.col("ts").alias("author_date")), "commits", 2),
         """SELECT sha, repository_full_name, author_date FROM (
                SELECT CAST(event_id AS VARCHAR) AS sha, event_type AS repository_full_name, ts AS author_date,
                       row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, CAST(event_id AS VARCHAR)) AS rn
                FROM events) WHERE rn <= 200""",
     ),
+    "N11_cap_pull_requests_per_repository": (
+        lambda spark, d: bronze.cap_feed(table(spark, d, "orders").select(
+            F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("repository_full_name"),
+            F.col("o_orderdate").alias("updated_at")), "pull_requests"),
+        """SELECT id, repository_full_name, updated_at FROM (
+               SELECT o_orderkey AS id, o_orderpriority AS repository_full_name, o_orderdate AS updated_at,
+                      row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey) AS rn
+               FROM orders) WHERE rn <= 1000""",
+    ),
     "N11_large_caps": (
         lambda spark, d: dedup.cap_per_key(
             table(spark, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey"),

@@ -12,7 +12,15 @@ from forgemart import schemas
 from forgemart.functions import numbers, texts
 from forgemart.operators import dedup
 
-COMMITS_PER_PAGE = 100
+# Records on a page of a feed; per feed the column it is sorted by, latest or largest first, a key
+# for ties, and the pages that are taken.
+ROWS_PER_PAGE = 100
+FEEDS = {
+    "commits": ("author_date", "sha", 5),
+    "pull_requests": ("updated_at", "id", 10),
+    "issues": ("updated_at", "id", 10),
+    "contributors": ("contributions", "login", 5),
+}
 
 
 def parse_payloads(texts_df: DataFrame, entity: str, column: str = "payload") -> DataFrame:
@@ -152,10 +160,11 @@ def cap_repos(repos: DataFrame, n: int = 50) -> DataFrame:
     return dedup.cap_per_key(repos, ["owner"], [F.col("updated_at").desc_nulls_last(), F.col("id")], n)
 
 
-def cap_commits(commits: DataFrame, pages: int = 5) -> DataFrame:
-    """Per repository the newest commits, ``pages`` feed pages of them."""
-    newest = [F.col("author_date").desc_nulls_last(), F.col("sha")]
-    return dedup.cap_per_key(commits, ["repository_full_name"], newest, pages * COMMITS_PER_PAGE)
+def cap_feed(records: DataFrame, entity: str, pages: int | None = None) -> DataFrame:
+    """Per repository the first pages of an entity's feed, in the order of the feed; ties go by its key."""
+    sorted_by, key, usual = FEEDS[entity]
+    order = [F.col(sorted_by).desc_nulls_last(), F.col(key)]
+    return dedup.cap_per_key(records, ["repository_full_name"], order, (pages or usual) * ROWS_PER_PAGE)
 
 
 def since_filter(df: DataFrame, column: str, moment: datetime | Column) -> DataFrame:

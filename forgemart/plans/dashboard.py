@@ -14,10 +14,15 @@ from forgemart.plans.star import Star
 
 def core_counts(star: Star) -> DataFrame:
     """One row with the size of every table and the star and fork totals."""
-    return star.repo.sparkSession.range(1).select(*_core_columns(star))
+    n = F.count(F.lit(1))
+    return star.repo.sparkSession.range(1).select(
+        *_base_counts(star),
+        star.prs.agg(n).scalar().alias("total_pull_requests"),
+        star.issues.agg(n).scalar().alias("total_issues"),
+    )
 
 
-def _core_columns(star: Star) -> list[Column]:
+def _base_counts(star: Star) -> list[Column]:
     n = F.count(F.lit(1))
     repo = star.repo.agg(
         n.alias("n"), long_sum(F.col("stars_count")).alias("stars"), long_sum(F.col("forks_count")).alias("forks")
@@ -25,8 +30,6 @@ def _core_columns(star: Star) -> list[Column]:
     return [
         repo["n"].alias("total_repositories"),
         star.commits.agg(n).scalar().alias("total_commits"),
-        star.prs.agg(n).scalar().alias("total_pull_requests"),
-        star.issues.agg(n).scalar().alias("total_issues"),
         star.user.agg(F.count_distinct("login")).scalar().alias("total_contributors"),
         repo["stars"].alias("total_stars"),
         repo["forks"].alias("total_forks"),
@@ -73,7 +76,7 @@ def dashboard_summary(star: Star, as_of: date | None = None) -> DataFrame:
     top = commits.top_contributors(star, limit=10)
     languages = language_distribution(star)
     parts = star.repo.sparkSession.range(1).select(
-        *_core_columns(star),
+        *_base_counts(star),
         top_language(star).scalar().alias("top_language"),
         commits.recent_commits(star, moment).scalar().alias("recent_commits_30d"),
         _rows(timeline, F.col("date")).alias("commit_timeline"),
@@ -84,6 +87,8 @@ def dashboard_summary(star: Star, as_of: date | None = None) -> DataFrame:
     )
     return parts.withColumns(
         {
+            "total_pull_requests": F.col("pr_stats.total_prs"),
+            "total_issues": F.col("issue_stats.total_issues"),
             "avg_merge_time_hours": F.col("pr_stats.avg_merge_time_hours"),
             "open_issues": F.col("issue_stats.open_issues"),
         }
