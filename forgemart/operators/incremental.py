@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,13 @@ from pyspark.sql import functions as F
 from forgemart.operators.dedup import latest_by_key
 
 
+def _by_key(rows: DataFrame, other: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """Semi- or anti-join on a key; nulls count as equal, as they do when a key is deduplicated."""
+    side = other.select(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(key)])
+    same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(key)]
+    return rows.join(side, reduce(lambda a, b: a & b, same), how)
+
+
 def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
     """Overwrite-by-key merge: incoming rows replace stored rows with the same key, the rest stay.
 
@@ -17,19 +25,18 @@ def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[C
     the stored table is not shuffled at all.
     """
     latest = latest_by_key(new, key, order)
-    return old.join(latest.select(*key), list(key), "left_anti").unionByName(latest)
+    return _by_key(old, latest, key, "left_anti").unionByName(latest)
 
 
-def touched_partitions(
-    old: DataFrame, new: DataFrame, key: Sequence[str], parts: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """Stored rows and incoming rows of every partition the delta changes.
+def touched_partitions(old: DataFrame, new: DataFrame, key: Sequence[str], parts: Sequence[str]) -> DataFrame:
+    """Stored rows of every partition the delta changes.
 
     That is the partitions the incoming rows fall into and those that hold an older copy of one of them.
+    Partition values are never null.
     """
-    hit = old.join(new.select(*key), list(key), "left_semi").select(*parts)
+    hit = _by_key(old, new, key, "left_semi").select(*parts)
     changed = new.select(*parts).unionByName(hit).distinct()
-    return old.join(changed, list(parts), "left_semi"), new
+    return old.join(changed, list(parts), "left_semi")
 
 
 def high_water_mark(silver: DataFrame, key: str, ts: str) -> DataFrame:

@@ -104,7 +104,11 @@ def extend_calendar(existing: DataFrame, spark: SparkSession, start: date, end:
 
 
 def dim_repository(silver: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Repositories with surrogate keys and a load stamp; keys already given out in ``existing`` stay."""
+    """Repositories with surrogate keys and a load stamp; keys already given out in ``existing`` stay.
+
+    Rows without an id cannot be told apart between loads and are left out.
+    """
+    silver = silver.filter(F.col("github_repo_id").isNotNull())
     if existing is None:
         keyed = keys.numbered(silver, "github_repo_id", "repository_id")
     else:

@@ -184,16 +184,16 @@ def upsert_table(
 
     ``new`` is read several times, so pass a stored table. The merged partitions are first written to the
     scratch folder: the table is never read while it is overwritten. Running the same delta again changes
-    nothing.
+    nothing. A null partition value fails the job.
     """
+    new = new.withColumns({c: F.coalesce(c, F.raise_error(F.lit(f"{c} is null"))) for c in part_cols})
     table = read_table(spark, path)
     if table is None:
         write_table(latest_by_key(new, key, order), path, part_cols)
         return
-    stored, incoming = touched_partitions(table, new.select(*table.columns), key, part_cols)
-    staged = scratch_path(spark, "upsert")
-    write_table(upsert(stored, incoming, key, order), staged)
-    result = spark.read.schema(table.schema).parquet(staged)
+    incoming = new.select(*table.columns)
+    stored = touched_partitions(table, incoming, key, part_cols)
+    result = staged(spark, upsert(stored, incoming, key, order).select(*table.columns), "upsert").frame
     # A partition all of whose rows moved elsewhere has nothing to overwrite it with. These frames hold one
     # row per partition of the table.
     emptied = stored.select(*part_cols).distinct().join(

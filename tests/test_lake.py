@@ -94,6 +94,18 @@ def test_upsert_moves_rows_and_removes_emptied_partitions(spark, tmp_path):
     assert {p.name for p in (tmp_path / "silver/t/year=2024/month=3").glob("*.parquet")} == untouched
 
 
+def test_null_keys_are_replaced_and_null_partitions_refused(spark, tmp_path):
+    paths = lake.LakePaths(str(tmp_path))
+    ddl = "id int, v string, year int"
+    old = spark.createDataFrame([(None, "a", 2024), (2, "b", 2024)], ddl)
+    lake.upsert_silver(spark, paths, "t", old, ["id"], ["year"])
+    lake.upsert_silver(spark, paths, "t", spark.createDataFrame([(None, "A", 2024)], ddl), ["id"], ["year"])
+    found = sorted((r.id or 0, r.v) for r in lake.read_silver(spark, paths, "t").collect())
+    assert found == [(0, "A"), (2, "b")]
+    with pytest.raises(Exception, match="year is null"):
+        lake.upsert_silver(spark, paths, "t", spark.createDataFrame([(3, "c", None)], ddl), ["id"], ["year"])
+
+
 def test_scratch_paths_are_new_and_shared(spark):
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir"))
