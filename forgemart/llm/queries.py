@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from forgemart.llm import exact_dedup
+from forgemart.llm import exact_dedup, packing
 from forgemart.llm.common import table
 
 
@@ -10,5 +10,9 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.copies(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup,)}
+def op2_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing)}
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE_SQL}
