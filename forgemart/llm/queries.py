@@ -2,9 +2,40 @@
 
 from __future__ import annotations
 
-from forgemart.llm import exact_dedup, packing
+import functools
+import tempfile
+import zipfile
+from pathlib import Path
+
+from forgemart.llm import exact_dedup, packing, quality, toxicity
 from forgemart.llm.common import table
 
+_shipped: set[str] = set()
+
+
+def ship(spark) -> None:
+    """Give the executors' Python workers this package, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        top = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="forgemart-code-")) / f"{top.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(top.rglob("*.py")):
+                out.write(path, path.relative_to(top.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped.add(app)
+
+
+def shipped(query):
+    """``query`` with the package at hand on the executors."""
+
+    @functools.wraps(query)
+    def run(spark, sf_dir):
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
 
 def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.copies(table(spark, sf_dir, "documents"))
@@ -14,5 +45,13 @@ def op2_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing)}
+def op3_quality(spark, sf_dir):
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: shipped(f) for f in (op1_exact_dedup, op2_packing, op3_quality, op10_toxicity)}
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE_SQL}
