@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from forgemart.llm import exact_dedup, packing, quality, toxicity
+from forgemart.llm import exact_dedup, html, mixing, packing, quality, substrings, topk, toxicity
 from forgemart.llm.common import table
 
 _shipped: set[str] = set()
@@ -49,9 +49,25 @@ def op3_quality(spark, sf_dir):
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_topk(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+def op7_html(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_substrings(spark, sf_dir):
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark, sf_dir):
+    return mixing.schedule(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: shipped(f) for f in (op1_exact_dedup, op2_packing, op3_quality, op10_toxicity)}
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE_SQL}
+QUERIES = {f.__name__: shipped(f) for f in (op1_exact_dedup, op2_packing, op3_quality, op6_topk, op7_html, op8_substrings, op9_mixing, op10_toxicity)}
+ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op6_topk": topk.ORACLE_SQL}
