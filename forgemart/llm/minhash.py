@@ -10,8 +10,9 @@ No group is expanded into pairs:
 
 1. Texts with the same elements are one class from the start; only the smallest id goes on.
 2. In every band bucket each text is compared with the smallest id, and verified links are joined to classes.
-3. In buckets that still hold several classes, blocks of signatures are compared; a text goes on with the most alike
-   texts of each other class. This is repeated until a round joins no more classes.
+3. In buckets that still hold several classes, blocks of signatures are compared; a text outside the commonest class
+   goes on with the texts of other classes that are most like it. Bands take turns in rounds, each round starts from
+   the classes of the one before, and it ends when no band joins any more.
 """
 
 from __future__ import annotations
@@ -29,9 +30,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4  # a pair at the threshold is missed with probability (1 - 0.8 ** 4) ** 24, below 1e-5
 REGISTERS = BANDS * ROWS
-LIKELY = 0.55  # share of agreeing registers: six standard deviations below the threshold
+LIKELY = 0.62  # share of agreeing registers: more than four standard deviations below the threshold
+TURNS = 3  # rounds in which every band has its turn
 BLOCK = 512  # signatures compared at a time
-CLOSEST = 3  # texts of another class that a text is compared with in one block
+CLOSEST = 3  # texts of other classes that a text is compared with in one block and round
 LAST = 2**63 - 1  # stands for a null id
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -109,28 +111,43 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.loc[np.array(kept, bool), ["a", "b"]]
 
 
+def _nearest(rows: np.ndarray, columns: np.ndarray, left: tuple, right: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (row, column) of the ``CLOSEST`` likely columns of other classes for each of ``rows``."""
+    same = np.zeros((len(rows), len(columns)), np.int16)
+    for k in range(REGISTERS):
+        same += left[2][rows, k, None] == right[2][None, columns, k]
+    same[left[1][rows, None] == right[1][None, columns]] = -1
+    most = min(CLOSEST, len(columns))
+    best = np.argpartition(same, len(columns) - most, axis=1)[:, len(columns) - most :]
+    likely = np.take_along_axis(same, best, axis=1) >= LIKELY * REGISTERS
+    return np.repeat(rows, most)[likely.ravel()], columns[best.ravel()][likely.ravel()]
+
+
 def _across(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For two blocks of (key, class, registers) of one bucket, the likely pairs between classes: of each other
-    class, those most like a text."""
+    """For two blocks of (key, class, registers) of one bucket, likely pairs between classes: each text outside the
+    class that most of them are in with those of other classes that are most like it."""
     for frame in frames:
-        for left, right in zip(frame["left"], frame["right"]):
-            sides = []
-            for side in (left, right):
-                keys = np.array([r["key"] for r in side], np.int64)
-                classes = np.array([r["class"] for r in side], np.int64)
-                sides.append((keys, classes, np.frombuffer(b"".join(r["registers"] for r in side), "<u2").reshape(-1, REGISTERS)))
-            (ka, ca, ra), (kb, cb, rb) = sides
-            same = np.zeros((len(ka), len(kb)), np.int16)
-            for k in range(REGISTERS):
-                same += ra[:, k, None] == rb[None, :, k]
-            i, j = np.nonzero((same >= LIKELY * REGISTERS) & (ca[:, None] != cb[None, :]))
-            if not len(i):
+        for pair in zip(frame["left"], frame["right"]):
+            left, right = (
+                (
+                    np.array([r["key"] for r in side], np.int64),
+                    np.array([r["class"] for r in side], np.int64),
+                    np.frombuffer(b"".join(r["registers"] for r in side), "<u2").reshape(-1, REGISTERS),
+                )
+                for side in pair
+            )
+            names, sizes = np.unique(np.concatenate([left[1], right[1]]), return_counts=True)
+            if len(names) < 2:
                 continue
-            found = pd.DataFrame({"a": ka[i], "b": kb[j], "ca": ca[i], "cb": cb[j], "same": same[i, j]})
-            found = found.sort_values(["same", "a", "b"], ascending=[False, True, True])
-            chosen = pd.concat([found.groupby(["a", "cb"]).head(CLOSEST), found.groupby(["b", "ca"]).head(CLOSEST)])
-            low, high = np.minimum(chosen["a"], chosen["b"]), np.maximum(chosen["a"], chosen["b"])
-            yield pd.DataFrame({"a": low, "b": high}).drop_duplicates()
+            common = names[sizes.argmax()]
+            found = []
+            for x, y in ((left, right), (right, left)):
+                rows = np.flatnonzero(x[1] != common)
+                if len(rows):
+                    at, to = _nearest(rows, np.arange(len(y[0])), x, y)
+                    found += [(x[0][at], y[0][to])]
+            a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -174,7 +191,7 @@ def classes(docs: DataFrame) -> DataFrame:
     unique = signed.filter("elements > 0").join(texts_of, "key", "left_semi").select("key", "bands", "registers")
     unique = staged(unique.dropDuplicates(["key"]), "unique")
 
-    rows = unique.select("key", F.explode("bands").alias("bucket"))
+    rows = unique.select("key", F.posexplode("bands").alias("band", "bucket"))
     full = rows.groupBy("bucket").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = staged(rows.join(full, "bucket"), "members")
     registers = unique.select("key", "registers")
@@ -190,13 +207,16 @@ def classes(docs: DataFrame) -> DataFrame:
     likely = star.join(right, "b").join(left, "a").mapInPandas(_likely, "a long, b long")
     checked = staged(likely, "checked")
     links = staged(verified(checked), "found")
-    while True:
-        found = components(links)
-        more = staged(_residual(members, registers, found).join(checked, ["a", "b"], "left_anti"), "checked")
+    found = components(links)
+    quiet, turn = 0, 0
+    while quiet < TURNS:
+        some = members.filter(F.col("band") % TURNS == turn % TURNS)
+        more = staged(_residual(some, registers, found).join(checked, ["a", "b"], "left_anti"), "checked")
         new = staged(verified(more), "found")
-        if new.isEmpty():
-            break
-        checked, links = checked.unionByName(more), links.unionByName(new)
+        checked, turn, quiet = checked.unionByName(more), turn + 1, quiet + 1
+        if not new.isEmpty():
+            links, quiet = links.unionByName(new), 0
+            found = staged(_merged(found, new), "classes")
 
     ends = links.select("a", "b").distinct()
     degree = ends.select(F.explode(F.array("a", "b")).alias("first")).groupBy("first").agg(F.count(F.lit(1)).alias("links"))
@@ -209,6 +229,16 @@ def classes(docs: DataFrame) -> DataFrame:
     )
 
 
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes (key, class) after ``links`` (a, b) have joined some."""
+    of = lambda c: found.select(F.col("key").alias(c), F.col("class").alias(f"class_{c}"))
+    both = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    ends = both.select(F.coalesce("class_a", "a").alias("a"), F.coalesce("class_b", "b").alias("b"))
+    joined = components(ends.filter("a != b")).select(F.col("key").alias("class"), F.col("class").alias("root"))
+    moved = found.join(joined, "class", "left").select("key", F.coalesce("root", "class").alias("class"))
+    return moved.unionByName(joined.select(F.col("class").alias("key"), F.col("root").alias("class"))).distinct()
+
+
 def _residual(members: DataFrame, registers: DataFrame, found: DataFrame) -> DataFrame:
     """Likely pairs (a, b) between different classes of one bucket, block by block."""
     rows = members.select("bucket", "key", "size").join(found, "key", "left")
@@ -222,7 +252,9 @@ def _residual(members: DataFrame, registers: DataFrame, found: DataFrame) -> Dat
     ahead = packed.filter("block + 1 < blocks").withColumn("other", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
     second = packed.filter("blocks > 1").select("bucket", F.col("block").alias("other"), F.col("left").alias("right"))
     pairs = alone.unionByName(ahead.join(second, ["bucket", "other"]).select("left", "right"))
-    return pairs.mapInPandas(_across, "a long, b long").distinct()
+    # The blocks are small in bytes and heavy in work: spread them whatever their size.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(tasks, F.rand(7)).mapInPandas(_across, "a long, b long").distinct()
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
