@@ -6,6 +6,7 @@ bytes, so that Python and Spark cut every text alike.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,7 @@ WHITE_SPACE = " \t\n\x0b\x0c\r"
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 _staged: dict[str, list[str]] = {}
+_tables: dict[str, list[str]] = {}
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -30,13 +32,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
+    """``df`` stored as a table bucketed by ``column``, in as many buckets as a shuffle has partitions: joins on the
+    column move only the other side."""
+    spark = df.sparkSession
+    full = f"llm_{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("compression", "zstd").bucketBy(buckets, column).saveAsTable(full)
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(full)
+    return spark.table(full)
+
+
 def clear_staged(spark: SparkSession) -> int:
     """Delete the staged tables of this application once the results that read them are stored; their number."""
-    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    app = spark.sparkContext.applicationId
+    tables = _tables.pop(app, [])
+    for name in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    paths = _staged.pop(app, [])
     for path in paths:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    return len(paths)
+    return len(paths) + len(tables)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from forgemart.llm import exact_dedup, html, minhash, mixing, packing, quality, substrings, topk, toxicity
+from forgemart.llm import exact_dedup, html, katz, minhash, mixing, packing, quality, substrings, topk, toxicity
 from forgemart.llm.common import table
 
 _shipped: set[str] = set()
@@ -53,6 +53,10 @@ def op4_minhash(spark, sf_dir):
     return minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op5_katz(spark, sf_dir):
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op6_topk(spark, sf_dir):
     return topk.search(table(spark, sf_dir, "embeddings"))
 
@@ -73,5 +77,5 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: shipped(f) for f in (op1_exact_dedup, op2_packing, op3_quality, op4_minhash, op6_topk, op7_html, op8_substrings, op9_mixing, op10_toxicity)}
+QUERIES = {f.__name__: shipped(f) for f in (op1_exact_dedup, op2_packing, op3_quality, op4_minhash, op5_katz, op6_topk, op7_html, op8_substrings, op9_mixing, op10_toxicity)}
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op6_topk": topk.ORACLE_SQL}

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -258,3 +259,16 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     held_out = F.coalesce(part_of("doc_id", 5) == 0, F.lit(False)).alias("held_out")
     return docs.select("doc_id", "text", held_out).mapInPandas(run, SCHEMA)
+
+
+def keep_clean(docs: DataFrame, known: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that a lexicon learnt on ``known`` with ``labels`` does not call toxic."""
+    lexicon = docs.sparkSession.sparkContext.broadcast(learn(known, labels, part_of("doc_id", 5) != 0))
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*lexicon.value)
+        for batch in frames:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            yield batch.filter(pa.array([scorer.log_odds(t)[0] < 0 for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
