@@ -6,6 +6,7 @@ bytes, so that Python and Spark cut every text alike.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -43,6 +44,12 @@ def bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
     return spark.table(full)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now: it does so when the driver collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def clear_staged(spark: SparkSession) -> int:
     """Delete the staged tables of this application once the results that read them are stored; their number."""
     app = spark.sparkContext.applicationId

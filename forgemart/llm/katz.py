@@ -14,6 +14,7 @@ and answers in the order of the request. Answers are joined to the bucketed chun
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,10 +23,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgemart.llm.common import batches, bucketed, mix, part_of, staged, word_hashes
+from forgemart.llm.common import batches, bucketed, mix, part_of, release, staged, word_hashes
 
 CHUNK_CHARS = 4 << 20
 DISCOUNTED = 5  # counts up to this are discounted
+KEY_BYTES = 6
 END, START = np.uint64(1), np.uint64(2)  # stand for the end of a text, as a token, and its start, as a context
 SCHEMA = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -37,13 +39,18 @@ class Chunk:
     """The words of a chunk's texts as numbers, its different words and its different pairs."""
 
     def __init__(self, texts: list[str | None], held: np.ndarray):
-        tokens = [(t or "").encode("utf-8").lower().split() for t in texts]
-        lengths = np.array([len(t) for t in tokens], np.int64)
+        hashed, counts = [], []
+        for text in texts:
+            tokens = (text or "").encode("utf-8").lower().split()
+            counts.append(len(tokens))
+            hashed.append(word_hashes(tokens))
+        lengths = np.array(counts, np.int64)
         ends = np.cumsum(lengths + 1) - 1
-        stream = np.full(int(lengths.sum()) + len(tokens), END, np.uint64)
+        stream = np.full(int(lengths.sum()) + len(counts), END, np.uint64)
         inside = np.ones(len(stream), bool)
         inside[ends] = False
-        stream[inside] = word_hashes([w for t in tokens for w in t])
+        if counts:
+            stream[inside] = np.concatenate(hashed)
         before = np.concatenate([[START], stream[:-1]]) if len(stream) else stream
         before[before == END] = START
         self.lengths = lengths + 1
@@ -54,12 +61,23 @@ class Chunk:
         self.pairs, first, self.pair_of = np.unique(pair, return_index=True, return_inverse=True)
         self.left = np.searchsorted(self.words, before[first])
         self.right = self.word_of[first]
-        self.doc_of = np.repeat(np.arange(len(tokens)), self.lengths)
+        self.doc_of = np.repeat(np.arange(len(counts)), self.lengths)
 
     def counts(self, of: np.ndarray, size: int) -> np.ndarray:
         return np.bincount(of[self.train], minlength=size).astype("<u4")
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """The lower six bytes of each key: with the partition, which comes from all eight, they tell keys apart."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    out = np.zeros((len(blob) // KEY_BYTES, 8), np.uint8)
+    out[:, :KEY_BYTES] = np.frombuffer(blob, np.uint8).reshape(-1, KEY_BYTES)
+    return out.view("<u8").ravel()
+
+
 def _order(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of keys sorted by partition, and where each partition starts."""
     part = (mix(keys) % np.uint64(parts)).astype(np.int64)
@@ -72,7 +90,7 @@ def _ask(chunk: int, keys: np.ndarray, columns: list[np.ndarray], parts: int) ->
     rows = []
     for part in np.flatnonzero(np.diff(starts)):
         at = order[starts[part] : starts[part + 1]]
-        rows.append((chunk, int(part), keys[at].tobytes(), *(c[at].tobytes() for c in columns)))
+        rows.append((chunk, int(part), _packed(keys[at]), *(c[at].tobytes() for c in columns)))
     names = ["chunk", "part", "keys", *(f"c{k}" for k in range(len(columns)))]
     return pd.DataFrame(rows, columns=names)
 
@@ -81,7 +99,7 @@ def _answered(blobs: list, parts_of: list, keys: np.ndarray, parts: int, kind: s
     """One number per key from the answers of all partitions."""
     order, _ = _order(keys, parts)
     out = np.zeros(len(keys), kind)
-    joined = b"".join(b for _, b in sorted(zip(parts_of, blobs)))
+    joined = b"".join(zlib.decompress(b) for _, b in sorted(zip(parts_of, blobs)))
     out[order] = np.frombuffer(joined, kind)
     return out
 
@@ -89,13 +107,13 @@ def _answered(blobs: list, parts_of: list, keys: np.ndarray, parts: int, kind: s
 def _merged(frame: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]:
     """The requests of a partition in chunk order, their lengths, their different keys and the place of each."""
     frame = frame.sort_values("chunk")
-    keys = [np.frombuffer(k, "<u8") for k in frame["keys"]]
+    keys = [_unpacked(k) for k in frame["keys"]]
     different, place = np.unique(np.concatenate(keys), return_inverse=True)
     return frame, np.array([len(k) for k in keys]), different, place
 
 
 def _answer(frame: pd.DataFrame, lengths: np.ndarray, values: np.ndarray) -> pd.DataFrame:
-    blobs = [v.tobytes() for v in np.split(values, np.cumsum(lengths)[:-1])]
+    blobs = [zlib.compress(v.tobytes(), 1) for v in np.split(values, np.cumsum(lengths)[:-1])]
     return pd.DataFrame({"chunk": frame["chunk"].to_numpy(), "part": frame["part"].to_numpy(), "answer": blobs})
 
 
@@ -123,17 +141,20 @@ def _sum_pairs(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sum_backoff(frame: pd.DataFrame) -> pd.DataFrame:
-    """The divisor and the backoff weight of each context, 0 and 1 for one never seen."""
+    """Discounted pair counts and unigram probability after each context, of all chunks."""
     frame, lengths, different, place = _merged(frame)
     column = lambda name: np.concatenate([np.frombuffer(c, "<f8") for c in frame[name]])
     seen = np.bincount(place, weights=column("c0"), minlength=len(different))
     base = np.bincount(place, weights=column("c1"), minlength=len(different))
-    total = np.zeros(len(different))
-    total[place] = column("c2")
+    return _answer(frame, lengths, np.stack([seen, base], axis=1)[place])
+
+
+def backoff(seen: np.ndarray, base: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The divisor and the backoff weight of contexts, 0 and 1 for one never seen."""
     # A context whose pairs are all frequent is not discounted: one more in the divisor leaves mass to back off.
     divisor = np.where(total > 0, np.where(seen > total - 0.5, total + 1, total), 0.0)
     alpha = np.where(total > 0, (1 - seen / np.maximum(divisor, 1)) / np.maximum(1 - base, 1e-300), 1.0)
-    return _answer(frame, lengths, np.stack([divisor, alpha], axis=1)[place])
+    return divisor, alpha
 
 
 def discounts(occur: np.ndarray) -> np.ndarray:
@@ -188,7 +209,10 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
     def table(request: Callable, source: DataFrame, columns: int, reduce: Callable) -> DataFrame:
         schema = "chunk long, part int, keys binary" + "".join(f", c{k} binary" for k in range(columns))
         asked = source.mapInPandas(lambda frames: each(frames, request), schema)
-        return staged(asked.groupBy("part").applyInPandas(reduce, _ANSWERS), "answers")
+        answers = staged(asked.groupBy("part").applyInPandas(reduce, _ANSWERS), "answers")
+        del asked
+        release(docs.sparkSession)
+        return answers
 
     def with_answers(source: DataFrame, answers: DataFrame, name: str) -> DataFrame:
         lists = answers.filter("chunk >= 0").groupBy("chunk").agg(
@@ -224,20 +248,20 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
         return count, of_pair, context
 
     def sums(row, c: Chunk) -> pd.DataFrame:
-        count, of_pair, context = seen(row, c)
+        count, of_pair, _ = seen(row, c)
         times = np.where(of_pair & 1, of_pair >> 1, 0)
         mine = times > 0
         discounted = np.bincount(c.left[mine], weights=_discounted(times[mine], factors), minlength=len(c.words))
         base = np.bincount(c.left[mine], weights=(count[c.right[mine]] + 1) / mass, minlength=len(c.words))
-        return _ask(row.chunk, c.words, [discounted, base, context], parts)
+        return _ask(row.chunk, c.words, [discounted, base], parts)
 
     joined = with_answers(with_answers(chunks, words, "words"), pairs, "pairs")
-    backoff = table(sums, joined, 3, _sum_backoff)
+    after = table(sums, joined, 2, _sum_backoff)
 
     def final(row, c: Chunk) -> pd.DataFrame:
-        count, of_pair, _ = seen(row, c)
-        weights = _answered(row.backoff, row.backoff_parts, c.words, parts, "<f8,<f8")
-        divisor, alpha = weights["f0"], weights["f1"]
+        count, of_pair, context = seen(row, c)
+        sums_after = _answered(row.after, row.after_parts, c.words, parts, "<f8,<f8")
+        divisor, alpha = backoff(sums_after["f0"], sums_after["f1"], context)
         times = of_pair >> 1
         base = (count + 1) / mass
         high = _discounted(times, factors) / np.maximum(divisor[c.left], 1)
@@ -258,4 +282,4 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
             }
         )
 
-    return with_answers(joined, backoff, "backoff").mapInPandas(lambda frames: each(frames, final), SCHEMA)
+    return with_answers(joined, after, "after").mapInPandas(lambda frames: each(frames, final), SCHEMA)
