@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -19,24 +19,30 @@ def bronze_to_silver(
     since: date | None = None,
     multi_line: bool = False,
     incremental: bool = False,
+    run_id: str | None = None,
 ) -> dict[str, int]:
     """Clean every entity that has landed; rows read into silver per entity, missing entities left out.
 
-    ``since`` reads the landing days from then on only. ``incremental`` merges into the silver tables instead
-    of replacing them; entities without an event time are small and always replaced, so leave ``since`` unset
-    unless every landing holds all of them. Unreadable records go to ``rejected_<entity>`` as they are.
+    ``since`` reads the landing days from then on only. With it or with ``incremental`` every entity is merged into
+    its silver table by key; a silver table is replaced only when all landings are read. Unreadable records of a run
+    go to ``rejected_<entity>/run=<run_id>`` as they are, and an entity of which nothing can be read fails the job
+    before its table is touched.
     """
     configure(spark)
+    run_id = run_id or f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
+    merge = incremental or since is not None
     counts = {}
     for entity in schemas.ENTITIES:
         records = lake.read_bronze(spark, paths, entity, since, multi_line)
         if records is None:
             continue
         good, bad = bronze.split_corrupt(records)
-        bad.write.mode("overwrite").json(paths.silver(f"rejected_{entity}"))
+        bad.write.mode("overwrite").json(f"{paths.silver(f'rejected_{entity}')}/run={run_id}")
+        if not good.take(1):
+            raise ValueError(f"no readable record of {entity}: files of whole documents need multi_line=True")
         cleaned = silver.clean(entity, good)
         parts = silver.partition_columns(entity)
-        if incremental and parts:
+        if merge:
             staged = lake.staged(spark, cleaned, entity)
             lake.upsert_silver(spark, paths, entity, staged.frame, schemas.KEYS[entity], parts)
             counts[entity] = staged.rows
@@ -48,7 +54,10 @@ def bronze_to_silver(
 def silver_to_gold(
     spark: SparkSession, paths: lake.LakePaths, load_id: str, previous_id: str | None = None
 ) -> Star:
-    """Load the star schema from the silver tables; an entity without a table counts as empty."""
+    """Load the star schema from the silver tables; an entity without a table counts as empty.
+
+    Keys go on from ``previous_id`` or, without it, from the latest finished load.
+    """
     configure(spark)
     tables = {}
     for entity in schemas.ENTITIES:

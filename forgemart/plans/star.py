@@ -135,13 +135,20 @@ def dim_user(sources: Sequence[DataFrame], existing: DataFrame | None = None) ->
     """Union of user sources, one row per login; a row with a known user id beats a bare login.
 
     Every source has the user columns without a key. Rows without a login cannot be referred to and are left
-    out.
+    out. A user whose id ``existing`` knows keeps that row when the sources have the bare login only.
     """
     everyone = reduce(DataFrame.unionByName, sources).filter(F.col("login").isNotNull())
     users = latest_by_key(everyone, ["login"], [F.col("github_user_id").asc_nulls_last()])
     if existing is None:
         keyed = keys.numbered(users, "login", "user_id")
     else:
+        bare = F.col("github_user_id").isNull()
+        stored = existing.filter(~bare).select(*_USER_COLUMNS)
+        users = (
+            users.filter(~bare)
+            .unionByName(users.filter(bare).join(stored.select("login"), "login", "left_anti").select(*_USER_COLUMNS))
+            .unionByName(stored.join(users.filter(bare).select("login"), "login", "left_semi"))
+        )
         keyed = keys.with_kept_keys(existing, users, "login", "user_id")
     return keyed.select("user_id", *_USER_COLUMNS, F.current_timestamp().alias("etl_loaded_at"))
 

@@ -12,7 +12,7 @@ from forgemart import schemas
 from forgemart.operators.incremental import upsert
 from forgemart.plans import star as build
 from forgemart.plans.star import Star
-from forgemart.sources.lake import LakePaths, read_table, staged, upsert_table, write_table
+from forgemart.sources.lake import LakePaths, path_exists, read_table, staged, upsert_table, write_table
 
 # Fact table, its natural key and the time that places it in a partition.
 _FACTS = {
@@ -21,6 +21,7 @@ _FACTS = {
     "fact_issues": (["github_issue_id", "repository_id"], "created_at"),
 }
 PARTITIONS = ("year", "month")
+LOADS = "finished_loads"
 
 
 def load_star(
@@ -36,12 +37,19 @@ def load_star(
     """Store the star built from the silver tables and return it as stored.
 
     Each load writes its dimensions to a folder of its own; rows and keys of the load named ``previous_id``
-    are carried over. The facts look their keys up in the stored dimensions and are merged by natural key into
+    are carried over, by default those of the latest finished load. Stored facts hold keys, so a load that finds
+    facts but no finished load is refused. The facts look their keys up in the stored dimensions and are merged by natural key into
     their tables, partitioned by ``part_cols`` (year, or year and month, of the event). Facts of unknown
     repositories go to ``rejected_<table>`` instead.
     """
+    previous = previous_id or latest_load(spark, paths)
+    if previous is None and any(path_exists(spark, paths.gold(name)) for name in _FACTS):
+        raise ValueError("facts are stored but no finished load is known: name the load to go on from in previous_id")
+
     def dimension(name: str, make, key: str) -> DataFrame:
-        before = None if previous_id is None else _stored(spark, name, f"{paths.gold(name)}/load={previous_id}")
+        before = None if previous is None else _stored(spark, name, f"{paths.gold(name)}/load={previous}")
+        if before is not None and previous == load_id:
+            before = staged(spark, before, name).frame  # a repeated load writes where it reads
         fresh = make(before)
         write_table(fresh if before is None else upsert(before, fresh, [key]), f"{paths.gold(name)}/load={load_id}")
         return _stored(spark, name, f"{paths.gold(name)}/load={load_id}")
@@ -62,9 +70,17 @@ def load_star(
     languages = f"{paths.gold('repo_languages')}/load={load_id}"
     write_table(build.repo_languages(silver["languages"], repo).filter("repository_id IS NOT NULL"), languages)
     stored = [_stored(spark, name, paths.gold(name)).drop(*part_cols) for name in facts]
+    finished = spark.range(1).select(F.lit(load_id).alias("load_id"), F.current_timestamp().alias("finished_at"))
+    finished.write.mode("append").parquet(paths.gold(LOADS))
     return Star(repo, user, calendar, *stored, _stored(spark, "repo_languages", languages))
 
 
+def latest_load(spark: SparkSession, paths: LakePaths) -> str | None:
+    """The id of the load that finished last; None before the first."""
+    loads = read_table(spark, paths.gold(LOADS))
+    return None if loads is None else loads.agg(F.max_by("load_id", "finished_at")).first()[0]
+
+
 def _stored(spark: SparkSession, table: str, path: str) -> DataFrame | None:
     return read_table(spark, path, schemas.gold(table))
 

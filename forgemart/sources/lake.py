@@ -184,7 +184,7 @@ def upsert_table(
 
     ``new`` is read several times, so pass a stored table. The merged partitions are first written to the
     scratch folder: the table is never read while it is overwritten. Running the same delta again changes
-    nothing. A null partition value fails the job.
+    nothing. A null partition value fails the job. A table without partitions is rewritten as a whole.
     """
     new = new.withColumns({c: F.coalesce(c, F.raise_error(F.lit(f"{c} is null"))) for c in part_cols})
     table = read_table(spark, path)
@@ -192,6 +192,10 @@ def upsert_table(
         write_table(latest_by_key(new, key, order), path, part_cols)
         return
     incoming = new.select(*table.columns)
+    if not part_cols:
+        merged = upsert(table, incoming, key, order).select(*table.columns)
+        write_table(staged(spark, merged, "upsert").frame, path)
+        return
     stored = touched_partitions(table, incoming, key, part_cols)
     result = staged(spark, upsert(stored, incoming, key, order).select(*table.columns), "upsert").frame
     # A partition all of whose rows moved elsewhere has nothing to overwrite it with. These frames hold one

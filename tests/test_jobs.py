@@ -55,6 +55,47 @@ def test_files_to_star_and_a_second_day(spark, paths, tmp_path):
     assert [r.login for r in commits.top_contributors(second, limit=5).collect()] == ["ann", "bob"]
 
 
+def test_recent_landings_are_merged_and_keys_stay(spark, paths, tmp_path):
+    bronze_to_silver(spark, paths, multi_line=True)
+    first = silver_to_gold(spark, paths, "1")
+    keys = {r.full_name: r.repository_id for r in first.repo.collect()}
+    land(tmp_path, "repositories", 2, "more", [repository(k, f"a/r{k}") for k in range(10, 60)])
+    land(tmp_path, "commits", 2, "a_b", [commit("s4", "ann", when="2024-02-01T00:00:00Z")])
+    land(tmp_path, "contributors", 2, "a_b", [{"id": 8, "login": "bob", "repository_full_name": "a/b"}])
+    bronze_to_silver(spark, paths, since=date(2024, 1, 2), multi_line=True)
+    silver = {e: lake.read_silver(spark, paths, e) for e in ("commits", "contributors", "repositories")}
+    assert {e: t.count() for e, t in silver.items()} == {"commits": 4, "contributors": 2, "repositories": 51}
+    second = silver_to_gold(spark, paths, "2")  # goes on from load 1 by itself
+    assert {r.full_name: r.repository_id for r in second.repo.collect()}["a/b"] == keys["a/b"]
+    found = second.commits.groupBy("sha").count().collect()
+    assert sorted((r.sha, r["count"]) for r in found) == [("s1", 1), ("s2", 1), ("s4", 1)]
+    again = silver_to_gold(spark, paths, "2")
+    assert sorted(r.sha for r in again.commits.collect()) == ["s1", "s2", "s4"]
+
+
+def test_a_bare_login_keeps_the_known_user(spark, paths):
+    bronze_to_silver(spark, paths, multi_line=True)
+    silver_to_gold(spark, paths, "1")
+    lake.read_silver(spark, paths, "contributors").filter("login = 'none'").write.mode("overwrite").parquet(paths.silver("x"))
+    spark.read.parquet(paths.silver("x")).write.mode("overwrite").parquet(paths.silver("contributors"))
+    second = silver_to_gold(spark, paths, "2")
+    assert [(r.login, r.github_user_id) for r in second.user.collect()] == [("ann", 7)]
+
+
+def test_document_files_load_or_fail(spark, tmp_path):
+    folder = tmp_path / "lake"
+    target = folder / "bronze/commits/year=2024/month=01/day=01"
+    paths = lake.LakePaths(str(folder))
+    land(folder, "commits", 1, "a_b", [commit("s1", "ann")])
+    bronze_to_silver(spark, paths, multi_line=True)
+    assert target.exists()
+    for file in target.iterdir():
+        file.write_text('[\n  {\n    "sha": "s2",\n    "repository_full_name": "a/b"\n  }\n]')
+    with pytest.raises(ValueError, match="multi_line"):
+        bronze_to_silver(spark, paths)
+    assert [r.sha for r in lake.read_silver(spark, paths, "commits").collect()] == ["s1"]
+
+
 def test_nothing_landed(spark, tmp_path):
     paths = lake.LakePaths(str(tmp_path / "none"))
     assert bronze_to_silver(spark, paths) == {}
