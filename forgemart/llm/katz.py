@@ -14,11 +14,11 @@ and answers in the order of the request. Answers are joined to the bucketed chun
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +27,8 @@ from forgemart.llm.common import batches, bucketed, mix, part_of, release, stage
 
 CHUNK_CHARS = 4 << 20
 DISCOUNTED = 5  # counts up to this are discounted
-KEY_BYTES = 6
-END, START = np.uint64(1), np.uint64(2)  # stand for the end of a text, as a token, and its start, as a context
+DROPPED_BITS = np.uint64(16)
+END, START = np.uint64(1 << 16), np.uint64(2 << 16)  # stand for the end of a text, as a token, and its start, as a context
 SCHEMA = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
@@ -67,15 +67,34 @@ class Chunk:
         return np.bincount(of[self.train], minlength=size).astype("<u4")
 
 
-def _packed(keys: np.ndarray) -> bytes:
-    """The lower six bytes of each key: with the partition, which comes from all eight, they tell keys apart."""
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+def _packed(keys: np.ndarray) -> np.ndarray:
+    """The steps between ascending keys cut to 48 bits: with the partition, which comes from all 64, those tell keys
+    apart."""
+    return np.diff(keys >> DROPPED_BITS, prepend=np.uint64(0))
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
-    out = np.zeros((len(blob) // KEY_BYTES, 8), np.uint8)
-    out[:, :KEY_BYTES] = np.frombuffer(blob, np.uint8).reshape(-1, KEY_BYTES)
-    return out.view("<u8").ravel()
+    return np.cumsum(_expanded(blob, "<u8")[0], dtype=np.uint64)
+
+
+def _squeezed(*columns: np.ndarray) -> bytes:
+    """Columns of one length, compressed; whole numbers by byte planes, as their high bytes are alike."""
+    flat = [c.view(np.uint8).reshape(-1, c.itemsize).T if c.dtype.kind in "iu" else c for c in map(np.ascontiguousarray, columns)]
+    return zstandard.compress(b"".join(c.tobytes() for c in flat), 1)
+
+
+def _expanded(blob: bytes, *kinds: str) -> list[np.ndarray]:
+    """The columns of a compressed blob."""
+    joined, out, at = zstandard.decompress(blob), [], 0
+    types = [np.dtype(k) for k in kinds]
+    size = len(joined) // sum(t.itemsize for t in types)
+    for kind in types:
+        column = np.frombuffer(joined, np.uint8, size * kind.itemsize, at)
+        if kind.kind in "iu":
+            column = np.ascontiguousarray(column.reshape(kind.itemsize, size).T)
+        out.append(column.view(kind).ravel())
+        at += size * kind.itemsize
+    return out
 
 
 def _order(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,17 +109,19 @@ def _ask(chunk: int, keys: np.ndarray, columns: list[np.ndarray], parts: int) ->
     rows = []
     for part in np.flatnonzero(np.diff(starts)):
         at = order[starts[part] : starts[part + 1]]
-        rows.append((chunk, int(part), _packed(keys[at]), *(c[at].tobytes() for c in columns)))
-    names = ["chunk", "part", "keys", *(f"c{k}" for k in range(len(columns)))]
-    return pd.DataFrame(rows, columns=names)
+        rows.append((chunk, int(part), _squeezed(_packed(keys[at])), _squeezed(*(c[at] for c in columns))))
+    return pd.DataFrame(rows, columns=["chunk", "part", "keys", "own"])
 
 
-def _answered(blobs: list, parts_of: list, keys: np.ndarray, parts: int, kind: str) -> np.ndarray:
-    """One number per key from the answers of all partitions."""
+def _answered(blobs: list, parts_of: list, keys: np.ndarray, parts: int, *kinds: str) -> list[np.ndarray]:
+    """One number of each kind per key from the answers of all partitions."""
     order, _ = _order(keys, parts)
-    out = np.zeros(len(keys), kind)
-    joined = b"".join(zlib.decompress(b) for _, b in sorted(zip(parts_of, blobs)))
-    out[order] = np.frombuffer(joined, kind)
+    found = [_expanded(b, *kinds) for _, b in sorted(zip(parts_of, blobs))]
+    out = []
+    for k, kind in enumerate(kinds):
+        column = np.zeros(len(keys), kind)
+        column[order] = np.concatenate([f[k] for f in found])
+        out.append(column)
     return out
 
 
@@ -112,15 +133,16 @@ def _merged(frame: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray,
     return frame, np.array([len(k) for k in keys]), different, place
 
 
-def _answer(frame: pd.DataFrame, lengths: np.ndarray, values: np.ndarray) -> pd.DataFrame:
-    blobs = [zlib.compress(v.tobytes(), 1) for v in np.split(values, np.cumsum(lengths)[:-1])]
+def _answer(frame: pd.DataFrame, lengths: np.ndarray, *values: np.ndarray) -> pd.DataFrame:
+    ends = np.cumsum(lengths)[:-1]
+    blobs = [_squeezed(*columns) for columns in zip(*(np.split(v, ends) for v in values))]
     return pd.DataFrame({"chunk": frame["chunk"].to_numpy(), "part": frame["part"].to_numpy(), "answer": blobs})
 
 
 def _sum_counts(frame: pd.DataFrame) -> pd.DataFrame:
     """Training counts of all chunks; a last row, for no chunk, has the number of tokens and of known words."""
     frame, lengths, different, place = _merged(frame)
-    own = np.concatenate([np.frombuffer(c, "<u4") for c in frame["c0"]])
+    own = np.concatenate([_expanded(c, "<u4")[0] for c in frame["own"]])
     total = np.bincount(place, weights=own, minlength=len(different)).astype("<i8")
     out = _answer(frame, lengths, total[place].astype("<i8"))
     totals = np.array([total.sum(), (total > 0).sum()], "<i8")
@@ -131,7 +153,7 @@ def _sum_pairs(frame: pd.DataFrame) -> pd.DataFrame:
     """Twice the training count of each pair, one more for the first chunk that asks; a last row, for no chunk, has
     how many pairs occur once, twice and so on."""
     frame, lengths, different, place = _merged(frame)
-    own = np.concatenate([np.frombuffer(c, "<u4") for c in frame["c0"]])
+    own = np.concatenate([_expanded(c, "<u4")[0] for c in frame["own"]])
     total = np.bincount(place, weights=own, minlength=len(different)).astype("<i8")
     values = total[place] * 2
     values[np.unique(place, return_index=True)[1]] += 1
@@ -141,12 +163,14 @@ def _sum_pairs(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sum_backoff(frame: pd.DataFrame) -> pd.DataFrame:
-    """Discounted pair counts and unigram probability after each context, of all chunks."""
+    """Discounted pair counts after each context and counts of the words seen there, one added to each, of all
+    chunks."""
     frame, lengths, different, place = _merged(frame)
-    column = lambda name: np.concatenate([np.frombuffer(c, "<f8") for c in frame[name]])
-    seen = np.bincount(place, weights=column("c0"), minlength=len(different))
-    base = np.bincount(place, weights=column("c1"), minlength=len(different))
-    return _answer(frame, lengths, np.stack([seen, base], axis=1)[place])
+    own = [_expanded(c, "<f8", "<i8") for c in frame["own"]]
+    seen, after = np.zeros(len(different)), np.zeros(len(different), np.int64)
+    np.add.at(seen, place, np.concatenate([o[0] for o in own]))
+    np.add.at(after, place, np.concatenate([o[1] for o in own]))
+    return _answer(frame, lengths, seen[place], after[place])
 
 
 def backoff(seen: np.ndarray, base: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -206,9 +230,8 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
             for row in frame.itertuples(index=False):
                 yield use(row, Chunk(list(row.texts), np.frombuffer(row.held, bool)))
 
-    def table(request: Callable, source: DataFrame, columns: int, reduce: Callable) -> DataFrame:
-        schema = "chunk long, part int, keys binary" + "".join(f", c{k} binary" for k in range(columns))
-        asked = source.mapInPandas(lambda frames: each(frames, request), schema)
+    def table(request: Callable, source: DataFrame, reduce: Callable) -> DataFrame:
+        asked = source.mapInPandas(lambda frames: each(frames, request), "chunk long, part int, keys binary, own binary")
         answers = staged(asked.groupBy("part").applyInPandas(reduce, _ANSWERS), "answers")
         del asked
         release(docs.sparkSession)
@@ -232,16 +255,16 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
         found = {r["k"]: r["n"] for r in rows.groupBy("k").agg(F.sum("n").alias("n")).collect()}
         return np.array([found.get(k, 0) for k in range(size)], np.int64)
 
-    words = table(lambda row, c: _ask(row.chunk, c.words, [c.counts(c.word_of, len(c.words))], parts), chunks, 1, _sum_counts)
-    pairs = table(lambda row, c: _ask(row.chunk, c.pairs, [c.counts(c.pair_of, len(c.pairs))], parts), chunks, 1, _sum_pairs)
+    words = table(lambda row, c: _ask(row.chunk, c.words, [c.counts(c.word_of, len(c.words))], parts), chunks, _sum_counts)
+    pairs = table(lambda row, c: _ask(row.chunk, c.pairs, [c.counts(c.pair_of, len(c.pairs))], parts), chunks, _sum_pairs)
     tokens, known = (int(x) for x in totals(words, 2))
     factors = discounts(totals(pairs, DISCOUNTED + 3))
     mass = float(tokens + known + 1)
 
     def seen(row, c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Counts of words and pairs, and of words as contexts: a start is followed as often as there are ends."""
-        count = _answered(row.words, row.words_parts, c.words, parts, "<i8")
-        of_pair = _answered(row.pairs, row.pairs_parts, c.pairs, parts, "<i8")
+        (count,) = _answered(row.words, row.words_parts, c.words, parts, "<i8")
+        (of_pair,) = _answered(row.pairs, row.pairs_parts, c.pairs, parts, "<i8")
         context = count.astype(np.float64)
         context[np.searchsorted(c.words, START)] = context[np.searchsorted(c.words, END)]
         context[np.searchsorted(c.words, END)] = 0
@@ -252,16 +275,17 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
         times = np.where(of_pair & 1, of_pair >> 1, 0)
         mine = times > 0
         discounted = np.bincount(c.left[mine], weights=_discounted(times[mine], factors), minlength=len(c.words))
-        base = np.bincount(c.left[mine], weights=(count[c.right[mine]] + 1) / mass, minlength=len(c.words))
-        return _ask(row.chunk, c.words, [discounted, base], parts)
+        after = np.zeros(len(c.words), np.int64)
+        np.add.at(after, c.left[mine], count[c.right[mine]] + 1)
+        return _ask(row.chunk, c.words, [discounted, after], parts)
 
     joined = with_answers(with_answers(chunks, words, "words"), pairs, "pairs")
-    after = table(sums, joined, 2, _sum_backoff)
+    after = table(sums, joined, _sum_backoff)
 
     def final(row, c: Chunk) -> pd.DataFrame:
         count, of_pair, context = seen(row, c)
-        sums_after = _answered(row.after, row.after_parts, c.words, parts, "<f8,<f8")
-        divisor, alpha = backoff(sums_after["f0"], sums_after["f1"], context)
+        discounted, followers = _answered(row.after, row.after_parts, c.words, parts, "<f8", "<i8")
+        divisor, alpha = backoff(discounted, followers / mass, context)
         times = of_pair >> 1
         base = (count + 1) / mass
         high = _discounted(times, factors) / np.maximum(divisor[c.left], 1)
