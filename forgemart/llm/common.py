@@ -97,8 +97,9 @@ def word_hashes(tokens: list[bytes]) -> np.ndarray:
     """One 64-bit number per word, the same in every process."""
     if not tokens:
         return np.zeros(0, np.uint64)
-    codes, distinct = pd.factorize(np.array([t.decode("utf-8", "surrogatepass") for t in tokens], dtype=object))
-    return pd.util.hash_array(np.asarray(distinct, dtype=object), categorize=False)[codes]
+    codes, distinct = pd.factorize(np.array(tokens, dtype=object))
+    named = np.array([t.decode("utf-8", "surrogatepass") for t in distinct], dtype=object)
+    return pd.util.hash_array(named, categorize=False)[codes]
 
 
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:

@@ -6,7 +6,7 @@
 ``alpha(h)`` is the mass that the discounts leave, over the mass of the words not seen after h, so each distribution
 sums to one exactly. The recursion ends in the additive unigram distribution, which gives unknown words a chance.
 
-Documents are stored once in chunks, a table bucketed by chunk. Counts, pair counts and backoff weights live in
+Documents are stored once as word numbers in chunks, a table bucketed by chunk. Counts, pair counts and backoff weights live in
 tables partitioned by hash. A chunk asks for each of its different words or pairs once, with its own training
 counts, so a word that makes up a third of the corpus is one request per chunk; the partition adds up all chunks
 and answers in the order of the request. Answers are joined to the bucketed chunks, which are not shuffled.
@@ -33,35 +33,46 @@ SCHEMA = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
 _ANSWERS = "chunk long, part int, answer binary"
+_STORED = ["chunk", "ids", "named", "held", "lengths", "vocabulary", "tokens"]
+
+
+def _read(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens per text, the different words as ascending numbers, and the place there of every token."""
+    tokens, counts = [], []
+    for text in texts:
+        own = (text or "").encode("utf-8").lower().split()
+        counts.append(len(own) + 1)
+        tokens += own
+    lengths = np.array(counts, np.int64)
+    stream = np.full(int(lengths.sum()) + 1, END, np.uint64)
+    inside = np.ones(len(stream), bool)
+    inside[np.cumsum(lengths) - 1] = False
+    inside[-1] = False
+    stream[inside] = word_hashes(tokens)
+    stream[-1] = START
+    words, place = np.unique(stream, return_inverse=True)
+    return lengths, words, place[:-1]
 
 
 class Chunk:
-    """The words of a chunk's texts as numbers, its different words and its different pairs."""
-
-    def __init__(self, texts: list[str | None], held: np.ndarray):
-        hashed, counts = [], []
-        for text in texts:
-            tokens = (text or "").encode("utf-8").lower().split()
-            counts.append(len(tokens))
-            hashed.append(word_hashes(tokens))
-        lengths = np.array(counts, np.int64)
-        ends = np.cumsum(lengths + 1) - 1
-        stream = np.full(int(lengths.sum()) + len(counts), END, np.uint64)
-        inside = np.ones(len(stream), bool)
-        inside[ends] = False
-        if counts:
-            stream[inside] = np.concatenate(hashed)
-        before = np.concatenate([[START], stream[:-1]]) if len(stream) else stream
-        before[before == END] = START
-        self.lengths = lengths + 1
+    """The words of a chunk's texts as numbers and its different words."""
+
+    def __init__(self, row):
+        held = np.frombuffer(row.held, bool)
+        self.lengths = np.frombuffer(row.lengths, "<i8")
         self.train = np.repeat(~held, self.lengths)
-        self.words, self.word_of = np.unique(np.append(stream, START), return_inverse=True)
-        self.word_of = self.word_of[:-1]
-        pair = mix(before * np.uint64(0x9E3779B97F4A7C15) + mix(stream))
+        self.words = np.cumsum(_expanded(row.vocabulary, "<u8")[0], dtype=np.uint64)
+        self.word_of = _expanded(row.tokens, "<u4")[0].astype(np.int64)
+        self.doc_of = np.repeat(np.arange(len(held)), self.lengths)
+
+    def find_pairs(self) -> Chunk:
+        """Number the pairs as well: their keys, the place of each token's pair, the words of each."""
+        before = np.roll(self.word_of, 1)
+        before[np.cumsum(self.lengths) - self.lengths] = np.searchsorted(self.words, START)
+        pair = mix(self.words[before] * np.uint64(0x9E3779B97F4A7C15) + mix(self.words)[self.word_of])
         self.pairs, first, self.pair_of = np.unique(pair, return_index=True, return_inverse=True)
-        self.left = np.searchsorted(self.words, before[first])
-        self.right = self.word_of[first]
-        self.doc_of = np.repeat(np.arange(len(counts)), self.lengths)
+        self.left, self.right = before[first], self.word_of[first]
+        return self
 
     def counts(self, of: np.ndarray, size: int) -> np.ndarray:
         return np.bincount(of[self.train], minlength=size).astype("<u4")
@@ -198,7 +209,7 @@ def _discounted(counts: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 
 def _store(docs: DataFrame, held_out) -> DataFrame:
-    """The documents in chunks, a table bucketed by chunk."""
+    """The documents as word numbers in chunks, a table bucketed by chunk: texts are cut into words once."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = TaskContext.get().partitionId() << 32
@@ -206,11 +217,13 @@ def _store(docs: DataFrame, held_out) -> DataFrame:
             held = frame["held"].to_numpy(bool).tobytes()
             named = frame["doc_id"].notna().to_numpy().tobytes()
             ids = frame["doc_id"].fillna(0).to_numpy("<i8").tobytes()
-            texts = [t or "" for t in frame["text"]]
-            yield pd.DataFrame({"chunk": [number], "ids": [ids], "named": [named], "held": [held], "texts": [texts]})
+            lengths, words, place = _read(list(frame["text"]))
+            steps = np.diff(words, prepend=np.uint64(0))
+            row = (number, ids, named, held, lengths.tobytes(), _squeezed(steps), _squeezed(place.astype("<u4")))
+            yield pd.DataFrame([row], columns=_STORED)
             number += 1
 
-    schema = "chunk long, ids binary, named binary, held binary, texts array<string>"
+    schema = ", ".join(f"{c} {'long' if c == 'chunk' else 'binary'}" for c in _STORED)
     rows = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held")).mapInPandas(run, schema)
     return bucketed(rows, "chunks", "chunk")
 
@@ -228,7 +241,7 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
     def each(frames: Iterator[pd.DataFrame], use: Callable) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples(index=False):
-                yield use(row, Chunk(list(row.texts), np.frombuffer(row.held, bool)))
+                yield use(row, Chunk(row))
 
     def table(request: Callable, source: DataFrame, reduce: Callable) -> DataFrame:
         asked = source.mapInPandas(lambda frames: each(frames, request), "chunk long, part int, keys binary, own binary")
@@ -255,14 +268,19 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
         found = {r["k"]: r["n"] for r in rows.groupBy("k").agg(F.sum("n").alias("n")).collect()}
         return np.array([found.get(k, 0) for k in range(size)], np.int64)
 
+    def pair_counts(row, c: Chunk) -> pd.DataFrame:
+        c.find_pairs()
+        return _ask(row.chunk, c.pairs, [c.counts(c.pair_of, len(c.pairs))], parts)
+
     words = table(lambda row, c: _ask(row.chunk, c.words, [c.counts(c.word_of, len(c.words))], parts), chunks, _sum_counts)
-    pairs = table(lambda row, c: _ask(row.chunk, c.pairs, [c.counts(c.pair_of, len(c.pairs))], parts), chunks, _sum_pairs)
+    pairs = table(pair_counts, chunks, _sum_pairs)
     tokens, known = (int(x) for x in totals(words, 2))
     factors = discounts(totals(pairs, DISCOUNTED + 3))
     mass = float(tokens + known + 1)
 
     def seen(row, c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Counts of words and pairs, and of words as contexts: a start is followed as often as there are ends."""
+        c.find_pairs()
         (count,) = _answered(row.words, row.words_parts, c.words, parts, "<i8")
         (of_pair,) = _answered(row.pairs, row.pairs_parts, c.pairs, parts, "<i8")
         context = count.astype(np.float64)
