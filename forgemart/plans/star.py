@@ -155,10 +155,10 @@ def dim_user(sources: Sequence[DataFrame], existing: DataFrame | None = None) ->
 
 def resolve_keys(fact: DataFrame, repo: DataFrame, user: DataFrame) -> DataFrame:
     """Add ``repository_id`` and ``author_id``; what is unknown stays null for the orphan check to report."""
-    return keys.lookup(_placed(fact, repo), user, "login", "author_login", "user_id", "author_id")
+    return keys.lookup(placed(fact, repo), user, "login", "author_login", "user_id", "author_id")
 
 
-def _placed(records: DataFrame, repo: DataFrame) -> DataFrame:
+def placed(records: DataFrame, repo: DataFrame) -> DataFrame:
     """Add ``repository_id``. A name shared by two repositories means the younger, so no record doubles."""
     newest = F.max_by("repository_id", F.struct("created_at", "repository_id"))
     named = repo.groupBy("full_name").agg(newest.alias("repository_id"))
@@ -166,8 +166,8 @@ def _placed(records: DataFrame, repo: DataFrame) -> DataFrame:
 
 
 def fact_commits(silver: DataFrame, repo: DataFrame, user: DataFrame) -> DataFrame:
-    placed = resolve_keys(silver, repo, user)
-    return keys.lookup(placed, user, "login", "committer_login", "user_id", "committer_id").select(
+    resolved = resolve_keys(silver, repo, user)
+    return keys.lookup(resolved, user, "login", "committer_login", "user_id", "committer_id").select(
         keys.row_handle("sha", "repository_full_name").alias("commit_id"),
         "sha",
         "repository_id",
@@ -244,7 +244,7 @@ def language_shares(silver: DataFrame) -> DataFrame:
 
 
 def repo_languages(silver: DataFrame, repo: DataFrame) -> DataFrame:
-    return _placed(language_shares(silver), repo).select(
+    return placed(language_shares(silver), repo).select(
         keys.row_handle("repository_full_name", "language").alias("id"),
         "repository_id",
         "language",

@@ -39,8 +39,9 @@ def load_star(
     Each load writes its dimensions to a folder of its own; rows and keys of the load named ``previous_id``
     are carried over, by default those of the latest finished load. Stored facts hold keys, so a load that finds
     facts but no finished load is refused. The facts look their keys up in the stored dimensions and are merged by natural key into
-    their tables, partitioned by ``part_cols`` (year, or year and month, of the event). Facts of unknown
-    repositories go to ``rejected_<table>`` instead.
+    their tables, partitioned by ``part_cols`` (year, or year and month, of the event). Facts and
+    languages of unknown repositories go to ``rejected_<table>`` instead. The calendar runs from ``start`` to ``end`` and further where
+    facts lie outside, so that none is hidden from queries by day.
     """
     previous = previous_id or latest_load(spark, paths)
     if previous is None and any(path_exists(spark, paths.gold(name)) for name in _FACTS):
@@ -59,16 +60,20 @@ def load_star(
         "dim_repository", lambda before: build.dim_repository(silver["repositories"], before), "github_repo_id"
     )
     user = dimension("dim_user", lambda before: build.dim_user(sources, before), "login")
-    calendar = dimension("dim_date", lambda before: build.dim_date(spark, start, end), "date_id")
     facts = {
         "fact_commits": build.fact_commits(silver["commits"], repo, user),
         "fact_pull_requests": build.fact_pull_requests(silver["pull_requests"], repo, user),
         "fact_issues": build.fact_issues(silver["issues"], repo, user),
     }
     for name, fact in facts.items():
-        _load_fact(spark, fact, paths, name, load_id, part_cols)
+        first, last = _load_fact(spark, fact, paths, name, load_id, part_cols)
+        if first is not None:
+            start, end = min(start, first), max(end, last)
+    calendar = dimension("dim_date", lambda before: build.dim_date(spark, start, end), "date_id")
     languages = f"{paths.gold('repo_languages')}/load={load_id}"
     write_table(build.repo_languages(silver["languages"], repo).filter("repository_id IS NOT NULL"), languages)
+    unknown = build.placed(silver["languages"], repo).filter("repository_id IS NULL").drop("repository_id")
+    write_table(unknown, f"{paths.gold('rejected_repo_languages')}/load={load_id}")
     stored = [_stored(spark, name, paths.gold(name)).drop(*part_cols) for name in facts]
     finished = spark.range(1).select(F.lit(load_id).alias("load_id"), F.current_timestamp().alias("finished_at"))
     finished.write.mode("append").parquet(paths.gold(LOADS))
@@ -87,7 +92,8 @@ def _stored(spark: SparkSession, table: str, path: str) -> DataFrame | None:
 
 def _load_fact(
     spark: SparkSession, fact: DataFrame, paths: LakePaths, name: str, load_id: str, part_cols: Sequence[str]
-) -> None:
+) -> tuple[date | None, date | None]:
+    """Store a fact and its rejects; the first and last day of the rows just stored."""
     key, moment = _FACTS[name]
     placed = F.col("repository_id").isNotNull()
     times = {"year": F.year(moment), "month": F.month(moment)}
@@ -95,3 +101,5 @@ def _load_fact(
     rows = staged(spark, dated, name).frame
     write_table(rows.filter("NOT placed").drop("placed"), f"{paths.gold('rejected_' + name)}/load={load_id}")
     upsert_table(spark, paths.gold(name), rows.filter("placed").drop("placed"), key, part_cols)
+    days = rows.filter("placed").agg(F.min(moment).cast("date"), F.max(moment).cast("date")).first()
+    return days[0], days[1]

@@ -55,6 +55,18 @@ def test_files_to_star_and_a_second_day(spark, paths, tmp_path):
     assert [r.login for r in commits.top_contributors(second, limit=5).collect()] == ["ann", "bob"]
 
 
+def test_calendar_reaches_all_facts_and_unknown_languages_are_kept(spark, paths, tmp_path):
+    land(tmp_path, "commits", 1, "old", [commit("s5", "ann", when="2018-03-04T10:00:00Z"), commit("s6", "ann", when="2031-02-01T00:00:00Z")])
+    land(tmp_path, "languages", 1, "no_ne", {"repository_full_name": "no/ne", "languages": {"C": 1}, "total_bytes": 1})
+    bronze_to_silver(spark, paths, multi_line=True)
+    built = silver_to_gold(spark, paths, "1")
+    ends = built.date.agg({"date_id": "min"}).first()[0], built.date.agg({"date_id": "max"}).first()[0]
+    assert ends == (20180304, 20310201)
+    assert sum(r.commit_count for r in commits.daily_commit_activity(built).collect()) == built.commits.count()
+    assert [r.repository_full_name for r in spark.read.parquet(paths.gold("rejected_repo_languages") + "/load=1").collect()] == ["no/ne"]
+    assert silver_to_gold(spark, paths, "2").date.count() == built.date.count()
+
+
 def test_recent_landings_are_merged_and_keys_stay(spark, paths, tmp_path):
     bronze_to_silver(spark, paths, multi_line=True)
     first = silver_to_gold(spark, paths, "1")
