@@ -381,3 +381,9 @@ def test_pipeline(spark, sf_dir):
     for i in set(texts) - pieces:  # each dropped one has a near copy with a smaller id
         assert any(j < i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for j in sets)
     clear_staged(spark)
+
+
+def test_words_with_a_nul_are_told_apart():
+    from forgemart.llm.common import word_hashes
+
+    assert len(set(word_hashes([b"a\0", b"a", b"a\0b", b"\0"]).tolist())) == 4
