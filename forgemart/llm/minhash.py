@@ -11,12 +11,14 @@ No group is expanded into pairs:
 1. Texts with the same elements are one class from the start; only the smallest id goes on.
 2. In every band bucket each text is compared with the smallest id, and verified links are joined to classes.
 3. In buckets that still hold several classes, blocks of signatures are compared; a text outside the commonest class
-   goes on with the texts of other classes that are most like it. Bands take turns in rounds, each round starts from
-   the classes of the one before, and it ends when no band joins any more.
+   goes on with the texts of other classes that are most like it and that it was not yet compared with. Bands take
+   turns in rounds, each round starts from the classes of the one before and takes more texts, and it ends when no
+   bucket has a likely pair between different classes that was not verified.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +32,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4  # a pair at the threshold is missed with probability (1 - 0.8 ** 4) ** 24, below 1e-5
 REGISTERS = BANDS * ROWS
-LIKELY = 0.62  # share of agreeing registers: more than four standard deviations below the threshold
+LIKELY = 0.55  # share of agreeing registers: six standard deviations below the threshold
 TURNS = 3  # rounds in which every band has its turn
 BLOCK = 512  # signatures compared at a time
-CLOSEST = 3  # texts of other classes that a text is compared with in one block and round
+CLOSEST = 3  # texts that a text is compared with in one block in the first rounds; doubled when all bands had a turn
 LAST = 2**63 - 1  # stands for a null id
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -111,21 +113,36 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.loc[np.array(kept, bool), ["a", "b"]]
 
 
-def _nearest(rows: np.ndarray, columns: np.ndarray, left: tuple, right: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (row, column) of the ``CLOSEST`` likely columns of other classes for each of ``rows``."""
-    same = np.zeros((len(rows), len(columns)), np.int16)
+def _nearest(
+    rows: np.ndarray, left: tuple, right: tuple, done: np.ndarray, most: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (row, column) of the ``most`` likely columns of other classes, not ``done``, for each of ``rows``."""
+    same = np.zeros((len(rows), len(right[0])), np.int16)
     for k in range(REGISTERS):
-        same += left[2][rows, k, None] == right[2][None, columns, k]
-    same[left[1][rows, None] == right[1][None, columns]] = -1
-    most = min(CLOSEST, len(columns))
-    best = np.argpartition(same, len(columns) - most, axis=1)[:, len(columns) - most :]
+        same += left[2][rows, k, None] == right[2][None, :, k]
+    same[(left[1][rows, None] == right[1]) | done[rows]] = -1
+    most = min(most, len(right[0]))
+    best = np.argpartition(same, len(right[0]) - most, axis=1)[:, len(right[0]) - most :]
     likely = np.take_along_axis(same, best, axis=1) >= LIKELY * REGISTERS
-    return np.repeat(rows, most)[likely.ravel()], columns[best.ravel()][likely.ravel()]
+    return np.repeat(rows, most)[likely.ravel()], best.ravel()[likely.ravel()]
 
 
-def _across(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For two blocks of (key, class, registers) of one bucket, likely pairs between classes: each text outside the
-    class that most of them are in with those of other classes that are most like it."""
+def _done(left: tuple, right: tuple) -> np.ndarray:
+    """Whether a row of ``left`` names a column of ``right`` among the texts it was compared with."""
+    owner = np.repeat(np.arange(len(left[0])), [len(x) for x in left[3]])
+    named = np.concatenate([np.zeros(0, np.int64), *left[3]])
+    order = np.argsort(right[0])
+    at = order[np.minimum(np.searchsorted(right[0][order], named), len(order) - 1)]
+    found = right[0][at] == named
+    done = np.zeros((len(left[0]), len(right[0])), bool)
+    done[owner[found], at[found]] = True
+    return done
+
+
+def _across(frames: Iterator[pd.DataFrame], most: int = CLOSEST) -> Iterator[pd.DataFrame]:
+    """For two blocks of (key, class, registers, checked) of one bucket, likely pairs between classes: each text
+    outside the class that most of them are in with ``most`` of other classes that are most like it, pairs that
+    either side names in ``checked`` left out."""
     for frame in frames:
         for pair in zip(frame["left"], frame["right"]):
             left, right = (
@@ -133,6 +150,7 @@ def _across(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     np.array([r["key"] for r in side], np.int64),
                     np.array([r["class"] for r in side], np.int64),
                     np.frombuffer(b"".join(r["registers"] for r in side), "<u2").reshape(-1, REGISTERS),
+                    [np.asarray(r["checked"], np.int64) for r in side],
                 )
                 for side in pair
             )
@@ -140,11 +158,12 @@ def _across(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(names) < 2:
                 continue
             common = names[sizes.argmax()]
+            done = _done(left, right) | _done(right, left).T
             found = []
-            for x, y in ((left, right), (right, left)):
+            for x, y, past in ((left, right, done), (right, left, done.T)):
                 rows = np.flatnonzero(x[1] != common)
                 if len(rows):
-                    at, to = _nearest(rows, np.arange(len(y[0])), x, y)
+                    at, to = _nearest(rows, x, y, past, most)
                     found += [(x[0][at], y[0][to])]
             a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
@@ -211,11 +230,14 @@ def classes(docs: DataFrame) -> DataFrame:
     quiet, turn = 0, 0
     while quiet < TURNS:
         some = members.filter(F.col("band") % TURNS == turn % TURNS)
-        more = staged(_residual(some, registers, found).join(checked, ["a", "b"], "left_anti"), "checked")
+        more = staged(_residual(some, registers, found, checked, CLOSEST << turn // TURNS), "checked")
+        turn, quiet = turn + 1, quiet + 1
+        if more.isEmpty():
+            continue
         new = staged(verified(more), "found")
-        checked, turn, quiet = checked.unionByName(more), turn + 1, quiet + 1
+        checked, quiet = checked.unionByName(more), 0
         if not new.isEmpty():
-            links, quiet = links.unionByName(new), 0
+            links = links.unionByName(new)
             found = staged(_merged(found, new), "classes")
 
     ends = links.select("a", "b").distinct()
@@ -239,22 +261,26 @@ def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
     return moved.unionByName(joined.select(F.col("class").alias("key"), F.col("root").alias("class"))).distinct()
 
 
-def _residual(members: DataFrame, registers: DataFrame, found: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) between different classes of one bucket, block by block."""
+def _residual(members: DataFrame, registers: DataFrame, found: DataFrame, checked: DataFrame, most: int) -> DataFrame:
+    """Likely pairs (a, b) between different classes of one bucket that are not in ``checked``, block by block."""
     rows = members.select("bucket", "key", "size").join(found, "key", "left")
     rows = rows.withColumn("class", F.coalesce("class", "key"))
     mixed = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
     rows = rows.join(mixed.select("bucket"), "bucket", "left_semi").join(registers, "key")
+    # A pair is kept with its larger key: the smallest of a bucket was compared with all others.
+    past = checked.groupBy(F.col("b").alias("key")).agg(F.collect_list("a").alias("checked"))
+    rows = rows.join(past, "key", "left").withColumn("checked", F.coalesce("checked", F.array().cast("array<long>")))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    packed = rows.groupBy("bucket", "blocks", "block").agg(F.collect_list(F.struct("key", "class", "registers")).alias("left"))
+    packed = rows.groupBy("bucket", "blocks", "block").agg(F.collect_list(F.struct("key", "class", "registers", "checked")).alias("left"))
     alone = packed.select("left", F.col("left").alias("right"))
     ahead = packed.filter("block + 1 < blocks").withColumn("other", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
     second = packed.filter("blocks > 1").select("bucket", F.col("block").alias("other"), F.col("left").alias("right"))
     pairs = alone.unionByName(ahead.join(second, ["bucket", "other"]).select("left", "right"))
     # The blocks are small in bytes and heavy in work: spread them whatever their size.
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.repartition(tasks, F.rand(7)).mapInPandas(_across, "a long, b long").distinct()
+    spread = pairs.repartition(tasks, F.rand(7))
+    return spread.mapInPandas(functools.partial(_across, most=most), "a long, b long").distinct()
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:

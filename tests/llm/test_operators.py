@@ -387,3 +387,24 @@ def test_words_with_a_nul_are_told_apart():
     from forgemart.llm.common import word_hashes
 
     assert len(set(word_hashes([b"a\0", b"a", b"a\0b", b"\0"]).tolist())) == 4
+
+
+def test_look_alikes_take_no_place_from_a_near_copy():
+    """Texts that failed verification leave their places to the next ones, until none is left."""
+    import pandas as pd
+
+    base = np.arange(minhash.REGISTERS, dtype="<u2")
+    block = [{"key": 100, "class": 100, "registers": base.tobytes()}]
+    for k in range(1, 21):
+        other = base.copy()
+        other[: 10 + k] += 1000 * k  # ever less like the first
+        block.append({"key": k, "class": k, "registers": other.tobytes()})
+    seen, rounds = set(), 0
+    while True:
+        side = [r | {"checked": [a for a, b in seen if b == r["key"]]} for r in block]
+        new = {p for f in minhash._across(iter([pd.DataFrame({"left": [side], "right": [side]})])) for p in zip(f["a"], f["b"])}
+        assert not new & seen
+        if not new:
+            break
+        seen, rounds = seen | new, rounds + 1
+    assert {(k, 100) for k in range(1, 21)} <= seen and rounds > 1
