@@ -1,9 +1,9 @@
 """Near duplicates by ProbMinHash signatures, banding and exact verification.
 
-Each different run of five words is an element whose weight grows with the logarithm of its count. An element is a
-Poisson process of that rate; every arrival falls into a random register, which keeps the earliest arrival. Elements
-that can arrive in no register before its present value stop. Registers of two texts agree with the probability
-Jaccard similarity of their weighted elements. Texts that agree in all registers of a band are candidates, and the
+Each different run of five words is an element of weight one, however often it occurs, as in the verification. An
+element is a Poisson process of that rate; every arrival falls into a random register, which keeps the earliest
+arrival. Elements that can arrive in no register before its present value stop. Registers of two texts agree with the
+probability Jaccard similarity of their elements, which for equal weights is the Jaccard similarity. Texts that agree in all registers of a band are candidates, and the
 Jaccard similarity of their element sets is computed from their whole texts.
 
 No group is expanded into pairs:
@@ -42,11 +42,11 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SIGNATURES = "key long, elements long, low long, high long, bands array<long>, registers binary"
 
 
-def elements(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the different runs of five lower-case words and their counts; a shorter text is one run."""
+def elements(text: str | None) -> np.ndarray:
+    """Hashes of the different runs of five lower-case words; a shorter text is one run."""
     hashes = word_hashes(words(text.lower())) if text else np.zeros(0, np.uint64)
     runs = gram_hashes(hashes, min(SHINGLE, len(hashes))) if len(hashes) else hashes
-    return np.unique(runs, return_counts=True)
+    return np.unique(runs)
 
 
 def signature(items: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -77,11 +77,11 @@ def _sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in batches(frames):
         rows = []
         for key, text in zip(frame["key"], frame["text"]):
-            items, counts = elements(text)
+            items = elements(text)
             if not len(items):
                 rows.append((key, 0, 0, 0, [], b""))
                 continue
-            first = signature(items, 1.0 + np.log(counts))
+            first = signature(items, np.ones(len(items)))
             bands = gram_hashes(first, ROWS)[::ROWS]
             bands = mix(bands + shift).astype(np.int64)
             low, high = (np.sum(mix(items + shift[k])).astype(np.int64) for k in (0, 1))
@@ -106,7 +106,7 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 seen.clear()
             for key, text in ((a, left), (b, right)):
                 if key not in seen:
-                    seen[key] = elements(text)[0]
+                    seen[key] = elements(text)
             x, y = seen[a], seen[b]
             both = len(np.intersect1d(x, y, assume_unique=True))
             kept.append(both >= SIMILARITY * (len(x) + len(y) - both))

@@ -408,3 +408,16 @@ def test_look_alikes_take_no_place_from_a_near_copy():
             break
         seen, rounds = seen | new, rounds + 1
     assert {(k, 100) for k in range(1, 21)} <= seen and rounds > 1
+
+
+def test_repeated_lines_do_not_hide_a_near_copy(spark):
+    """Texts count as sets of runs when they are verified, so they are signed as sets."""
+    rnd = random.Random(12)
+    rows = []
+    for g in range(8):
+        text = [f"g{g}w{k}" for k in range(104)]
+        line = [f"g{g}line{k}" for k in range(20)]
+        rows += [(10 * g, " ".join(text)), (10 * g + 1, " ".join(text + line * rnd.randrange(90, 110)))]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.classes(documents(spark, [(i, t, "s") for i, t in rows])).collect()}
+    assert got == {i: i // 10 * 10 for i, _ in rows}
+    clear_staged(spark)
