@@ -12,13 +12,14 @@ No group is expanded into pairs:
 2. In every band bucket each text is compared with the smallest id, and verified links are joined to classes.
 3. In buckets that still hold several classes, blocks of signatures are compared; a text outside the commonest class
    goes on with the texts of other classes that are most like it and that it was not yet compared with. Bands take
-   turns in rounds, each round starts from the classes of the one before and takes more texts, and it ends when no
-   bucket has a likely pair between different classes that was not verified.
+   turns in the first rounds, then all take part, with more texts each time. Each round starts from the classes of
+   the one before, and it ends when no bucket has a likely pair between different classes that was not verified.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +34,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4  # a pair at the threshold is missed with probability (1 - 0.8 ** 4) ** 24, below 1e-5
 REGISTERS = BANDS * ROWS
 LIKELY = 0.55  # share of agreeing registers: six standard deviations below the threshold
-TURNS = 3  # rounds in which every band has its turn
+TURNS = 3  # rounds in which every band has its turn; later rounds take all bands
 BLOCK = 512  # signatures compared at a time
-CLOSEST = 3  # texts that a text is compared with in one block in the first rounds; doubled when all bands had a turn
+CLOSEST = 3  # texts that a text is compared with in one block in the first rounds
+GROWTH = 16  # factor to that number in each later round
 LAST = 2**63 - 1  # stands for a null id
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -227,15 +229,16 @@ def classes(docs: DataFrame) -> DataFrame:
     checked = staged(likely, "checked")
     links = staged(verified(checked), "found")
     found = components(links)
-    quiet, turn = 0, 0
-    while quiet < TURNS:
-        some = members.filter(F.col("band") % TURNS == turn % TURNS)
-        more = staged(_residual(some, registers, found, checked, CLOSEST << turn // TURNS), "checked")
-        turn, quiet = turn + 1, quiet + 1
+    for turn in itertools.count():
+        some = members.filter(F.col("band") % TURNS == turn) if turn < TURNS else members
+        most = min(CLOSEST * GROWTH ** max(0, turn - TURNS + 1), BLOCK)
+        more = staged(_residual(some, registers, found, checked, most), "checked")
         if more.isEmpty():
-            continue
+            if turn < TURNS:
+                continue
+            break
         new = staged(verified(more), "found")
-        checked, quiet = checked.unionByName(more), 0
+        checked = checked.unionByName(more)
         if not new.isEmpty():
             links = links.unionByName(new)
             found = staged(_merged(found, new), "classes")
