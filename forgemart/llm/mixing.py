@@ -2,9 +2,9 @@
 
 Each source is cut into blocks of one size. Time has one slot per block. With share ``w`` of the slots, block ``i``
 (from 0) of a source is released at ``floor(i / w)`` and due at ``ceil((i + 1) / w)``; earliest deadline first then
-keeps every source within one block of its target at every slot. Shares are whole numbers out of ``PERIOD``, so the
-schedule repeats and one period, computed once, places any number of blocks by arithmetic. When a source runs out,
-the shares are scaled over the others and a new phase starts. No row is dropped or repeated.
+keeps every source within one block of its target at every slot. Shares are the weights themselves, as whole numbers
+of one unit, and the driver places every block: it holds a number per block and a row per source. When a source runs
+out, the shares are scaled over the others and a new phase starts. No row is dropped or repeated.
 
 Blocks come from running sums of sizes. Rows of a source are ordered by a hash, dealt into buckets of that hash, and
 summed in two steps, so a source with a third of the corpus is spread over many tasks.
@@ -13,6 +13,7 @@ summed in two steps, so a source with a third of the corpus is spread over many
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 
 from pyspark.sql import DataFrame, Window
@@ -20,31 +21,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK_CHARS = 65536
-PERIOD = 1024  # slots after which a schedule repeats
-POOLS = 255  # sources scheduled by themselves; smaller ones share one more
-OTHERS = "\u0000others"
+PERIOD = 1024  # blocks of a source in one row of the plan
 MISSING = "\u0000missing"
 
-_PHASES = T.StructType(
+_PLAN = T.StructType(
     [
-        T.StructField("pool", T.StringType()),
-        T.StructField(
-            "phases",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("first", T.LongType()),
-                        T.StructField("after", T.LongType()),
-                        T.StructField("begin", T.LongType()),
-                        T.StructField("slots", T.ArrayType(T.IntegerType())),
-                    ]
-                )
-            ),
-        ),
+        T.StructField("__source", T.StringType()),
+        T.StructField("part", T.LongType()),
+        T.StructField("slots", T.ArrayType(T.LongType())),
     ]
 )
 
 
+def exact_shares(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the ratio of the weights."""
+    ratios = {s: float(w).as_integer_ratio() for s, w in weights.items()}
+    unit = max(d for _, d in ratios.values())  # powers of two
+    return {s: n * (unit // d) for s, (n, d) in ratios.items()}
+
+
 def whole_shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
     """Shares out of ``period`` by largest remainders, one at least."""
     total = sum(weights.values())
@@ -55,41 +50,44 @@ def whole_shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, i
     return shares
 
 
-def one_period(shares: dict[str, int], period: int = PERIOD) -> dict[str, list[int]]:
-    """The slots of each source's blocks in one period, by earliest deadline among the released."""
+def one_period(
+    shares: dict[str, int], period: int | None = PERIOD, blocks: dict[str, int] | None = None
+) -> dict[str, list[int]]:
+    """The slots of each source's blocks by earliest deadline among the released: those of ``period`` slots, or with
+    ``blocks`` all until the first source has run out."""
+    total = sum(shares.values())
     waiting = [(0, s, 0) for s in sorted(shares)]  # release, source, block
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
     slots: dict[str, list[int]] = {s: [] for s in shares}
-    for slot in range(period):
+    for slot in itertools.count() if blocks else range(period):
         while waiting and waiting[0][0] <= slot:
             _, s, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(i + 1) * period // shares[s]), s, i))
+            heapq.heappush(ready, (-(-(i + 1) * total // shares[s]), s, i))
         _, s, i = heapq.heappop(ready)
         slots[s].append(slot)
-        if i + 1 < shares[s]:
-            heapq.heappush(waiting, ((i + 1) * period // shares[s], s, i + 1))
+        if blocks and i + 1 == blocks[s]:
+            break
+        heapq.heappush(waiting, ((i + 1) * total // shares[s], s, i + 1))
     return slots
 
 
 def phases(blocks: dict[str, int], weights: dict[str, float]) -> dict[str, list[tuple[int, int, int, list[int]]]]:
-    """For each source its (first block, block after the last, first slot, slots of one period) by phase."""
+    """For each source its (first block, block after the last, first slot, slots from there) by phase."""
     left = {s: n for s, n in blocks.items() if n > 0}
     used, begin = dict.fromkeys(left, 0), 0
     out: dict[str, list[tuple[int, int, int, list[int]]]] = {s: [] for s in left}
     while left:
-        slots = one_period(whole_shares({s: weights[s] for s in left}))
-        last = {s: (n - 1) // len(slots[s]) * PERIOD + slots[s][(n - 1) % len(slots[s])] for s, n in left.items()}
-        length = min(last.values()) + 1
-        full, rest = divmod(length, PERIOD)
+        slots = one_period(exact_shares({s: weights[s] for s in left}), None, left)
         for s in list(left):
-            took = full * len(slots[s]) + sum(x < rest for x in slots[s])
-            out[s].append((used[s], used[s] + took, begin, slots[s]))
+            took = len(slots[s])
+            if took:
+                out[s].append((used[s], used[s] + took, begin, slots[s]))
             used[s] += took
             left[s] -= took
             if not left[s]:
                 del left[s]
-        begin += length
+        begin += sum(map(len, slots.values()))
     return out
 
 
@@ -100,7 +98,7 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_cha
     (slot, place, doc_id) is the mixed order. A document belongs to the block in which it starts; one longer than a
     block leaves slots empty behind it. Without ``weights`` a source weighs as the square root of its characters;
     a source that ``weights`` leaves out gets the least given weight. Null and empty texts count one character. A
-    null source is a source of its own. The ``POOLS`` largest sources are scheduled one by one, the rest as one.
+    null source is a source of its own.
     Repeated rows follow each other. An empty table gives no rows. Other columns are not read.
     """
     rows = docs.select(
@@ -109,15 +107,10 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_cha
         F.coalesce("source", F.lit(MISSING)).alias("__source"),
         F.greatest(F.char_length(F.coalesce("text", F.lit(""))), F.lit(1)).cast("long").alias("size"),
     )
-    # Bounded: the largest sources and one row for all others.
-    totals = rows.groupBy("__source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
-    named = totals.orderBy(F.desc("size"), "__source").limit(POOLS).collect()
-    everything = totals.agg(F.sum("size").alias("size"), F.sum("rows").alias("rows")).first()
-    names = [r["__source"] for r in named]
-    sizes = {r["__source"]: r["size"] for r in named}
-    rest = (everything["size"] or 0) - sum(sizes.values())
-    if rest:
-        sizes[OTHERS] = rest
+    # One row per source.
+    totals = rows.groupBy("__source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect()
+    sizes = {r["__source"]: r["size"] for r in totals}
+    number = sum(r["rows"] for r in totals)
     blocks = {s: -(-n // block_chars) for s, n in sizes.items()}
     if weights is None:
         target = {s: math.sqrt(n) for s, n in sizes.items()}
@@ -125,29 +118,29 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_cha
         if any(w <= 0 for w in weights.values()):
             raise ValueError("weights must be positive")
         target = {s: float(weights.get(s, min(weights.values()))) for s in sizes}
-    plan = [(s, [(a, b, c, d) for a, b, c, d in p]) for s, p in phases(blocks, target).items()]
-    table = docs.sparkSession.createDataFrame(plan, _PHASES)
+    plan = []
+    for s, p in phases(blocks, target).items():
+        at = [begin + x for _, _, begin, slots in p for x in slots]
+        plan += [(s, k // PERIOD, at[k : k + PERIOD]) for k in range(0, len(at), PERIOD)]
+    table = docs.sparkSession.createDataFrame(plan, _PLAN)
 
-    pool = F.when(F.col("__source").isin(names), F.col("__source")).otherwise(F.lit(OTHERS)) if names else F.lit(OTHERS)
     # About as many buckets as rows in a bucket: both grow with the root of the corpus.
-    bits = max(1, math.ceil(math.log2(math.sqrt((everything["rows"] or 0) + 1)) + 1))
+    bits = max(1, math.ceil(math.log2(math.sqrt(number + 1)) + 1))
     mark = F.xxhash64("doc_id")
-    rows = rows.withColumn("pool", pool).withColumn("mark", mark).withColumn("bucket", F.shiftright("mark", 64 - bits))
-    sums = rows.groupBy("pool", "bucket").agg(F.sum("size").alias("in_bucket"))
-    earlier = Window.partitionBy("pool").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("pool", "bucket", F.coalesce(F.sum("in_bucket").over(earlier), F.lit(0)).alias("earlier"))
-    inside = Window.partitionBy("pool", "bucket").orderBy("mark", "doc_id", "size")
+    rows = rows.withColumn("mark", mark).withColumn("bucket", F.shiftright("mark", 64 - bits))
+    sums = rows.groupBy("__source", "bucket").agg(F.sum("size").alias("in_bucket"))
+    earlier = Window.partitionBy("__source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("__source", "bucket", F.coalesce(F.sum("in_bucket").over(earlier), F.lit(0)).alias("earlier"))
+    inside = Window.partitionBy("__source", "bucket").orderBy("mark", "doc_id", "size")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    rows = rows.join(sums, ["pool", "bucket"]).join(F.broadcast(table), "pool")
+    rows = rows.join(sums, ["__source", "bucket"])
     start = F.col("earlier") + F.col("before")
     block = F.floor(start / block_chars).cast("long")
     rows = rows.withColumn("source_block", block).withColumn("place", start - block * block_chars)
-    now = F.filter("phases", lambda p: (p["first"] <= F.col("source_block")) & (F.col("source_block") < p["after"]))[0]
-    rows = rows.withColumn("now", now).withColumn("nth", F.col("source_block") - F.col("now.first"))
-    share = F.size("now.slots")
-    slot = F.col("now.begin") + F.floor(F.col("nth") / share) * PERIOD + F.get("now.slots", (F.col("nth") % share).cast("int"))
-    return rows.select("doc_id", "source", "source_block", slot.cast("long").alias("slot"), "place")
+    rows = rows.withColumn("part", F.floor(block / PERIOD).cast("long")).join(F.broadcast(table), ["__source", "part"])
+    slot = F.get("slots", (F.col("source_block") % PERIOD).cast("int"))
+    return rows.select("doc_id", "source", "source_block", slot.alias("slot"), "place")
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:

@@ -421,3 +421,26 @@ def test_repeated_lines_do_not_hide_a_near_copy(spark):
     got = {r["doc_id"]: r["class_id"] for r in minhash.classes(documents(spark, [(i, t, "s") for i, t in rows])).collect()}
     assert got == {i: i // 10 * 10 for i, _ in rows}
     clear_staged(spark)
+
+
+def test_schedule_follows_the_weights_over_many_periods():
+    rnd = random.Random(13)
+    for count in (20, 300):
+        weights = {f"s{k}": rnd.random() + 0.01 for k in range(count)} | {"big": 0.3 * count / 2, "rare": count / 20000}
+        total = sum(weights.values())
+        blocks = {s: int(20000 * w / total) + 1 for s, w in weights.items()}
+        plan = mixing.phases(blocks, weights)
+        end = min(p[-1][2] for p in plan.values() if len(p) > 1)
+        assert sum(blocks.values()) == sum(len(p[3]) for parts in plan.values() for p in parts) and end > 4 * 1024
+        for s, parts in plan.items():
+            at, w = parts[0][3], weights[s] / total
+            for i, t in enumerate(at):  # just before and just after block i
+                assert -1 < i - t * w < 1 and -1 < i + 1 - (t + 1) * w < 1
+
+
+def test_mixing_keeps_the_weight_of_each_of_300_sources(spark):
+    rows = [(k, "x" * 64, f"s{k % 300:03}") for k in range(3000)] + [(5000 + k, "x" * 64, "tiny") for k in range(5)]
+    weights = {f"s{k:03}": 1.0 for k in range(300)} | {"tiny": 50.0}
+    got = mixing.schedule(documents(spark, rows), weights, 64).collect()
+    assert len(got) == len(rows) and {r["slot"] for r in got} == set(range(len(rows)))
+    assert max(r["slot"] for r in got if r["source"] == "tiny") < 36
