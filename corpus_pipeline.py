@@ -27,14 +27,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in an order that serves every source at its target weight."""
-    return mixing.mix(docs)
+    """All documents and their place in an order that serves every source at its target weight."""
+    return mixing.placed(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences, in the order of the files."""
+    """Pieces of documents in sequences, in the mixed order."""
     ship(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, order=mixing.ORDER)
 
 
 STAGES = [

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 BLOCK_CHARS = 65536
 PERIOD = 1024  # blocks of a source in one row of the plan
 MISSING = "\u0000missing"
+ORDER = ("mixed_slot", "mixed_place")  # columns of the mixed order
 
 _PLAN = T.StructType(
     [
@@ -143,9 +144,15 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_cha
     return rows.select("doc_id", "source", "source_block", slot.alias("slot"), "place")
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The documents, all columns, sorted into the mixed order: written files follow it."""
+def placed(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The documents, all columns, and the columns of ``ORDER``: sorted by these and doc_id they are mixed."""
     order = schedule(docs, weights, block_chars).select(F.col("doc_id").alias("__id"), "slot", "place").distinct()
     first = order.groupBy("__id").agg(F.min(F.struct("slot", "place")).alias("__at"))
     joined = docs.join(first, docs["doc_id"].eqNullSafe(first["__id"]))
-    return joined.orderBy("__at.slot", "__at.place", "doc_id").select(*[docs[c] for c in docs.columns])
+    return joined.select(*[docs[c] for c in docs.columns], *[F.col(f"__at.{c[6:]}").alias(c) for c in ORDER])
+
+
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The documents, all columns, sorted into the mixed order. Files read again may come in another order: a later
+    step that needs the order takes ``placed``."""
+    return placed(docs, weights, block_chars).orderBy(*ORDER, "doc_id").drop(*ORDER)

@@ -25,6 +25,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from forgemart.llm.common import batches, words
@@ -235,13 +236,14 @@ class _Stream:
         return frame.astype({"doc_id": "Int64"})
 
 
-def pack(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str = TOKENIZER, order: tuple[str, ...] = ()) -> DataFrame:
     """One row per piece of a document in a sequence: doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset, and sequence_length, the ids in the sequence before padding.
 
     Null and empty texts are the end id alone. Each task packs the rows it reads, in order, with one unfilled
     sequence at most per task. Repeated and null doc_ids are packed row by row like any other. Other columns are not
-    read. The order of rows must not change between attempts of a task: pack a stored table.
+    read. The order of rows must not change between attempts of a task: pack a stored table. With ``order``, tasks are
+    ranges of these columns and doc_id, so sequence numbers follow them however the table is filed.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -255,4 +257,7 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
         if stream.length:
             yield stream.settle(True)
 
+    if order:
+        by = [*order, "doc_id", F.xxhash64("text")]
+        docs = docs.repartitionByRange(*by).sortWithinPartitions(*by)
     return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)

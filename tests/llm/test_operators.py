@@ -444,3 +444,17 @@ def test_mixing_keeps_the_weight_of_each_of_300_sources(spark):
     got = mixing.schedule(documents(spark, rows), weights, 64).collect()
     assert len(got) == len(rows) and {r["slot"] for r in got} == set(range(len(rows)))
     assert max(r["slot"] for r in got if r["source"] == "tiny") < 36
+
+
+def test_sequences_follow_the_mixed_order_whatever_the_files(spark, sf_dir, tmp_path):
+    import corpus_pipeline
+
+    rnd = random.Random(14)
+    rows = [(k, " ".join(f"w{rnd.randrange(300)}" for _ in range(rnd.randrange(20, 2000))), f"s{k % 3}") for k in range(200)]
+    mixed = corpus_pipeline.mix_sources(spark, documents(spark, rows), sf_dir)
+    for part in (F.col("doc_id") < 150, F.col("doc_id").between(150, 160), F.col("doc_id") > 160):
+        mixed.filter(part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/mixed")
+    got = corpus_pipeline.pack_sequences(spark, spark.read.parquet(f"{tmp_path}/mixed"), sf_dir).collect()
+    at = {r["doc_id"]: (r["slot"], r["place"], r["doc_id"]) for r in mixing.schedule(documents(spark, rows)).collect()}
+    order = list(dict.fromkeys(r["doc_id"] for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"]))))
+    assert order == sorted(at, key=at.get)
