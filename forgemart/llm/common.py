@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gc
 import uuid
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,15 +23,34 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 _staged: dict[str, list[str]] = {}
 _tables: dict[str, list[str]] = {}
+_read: dict[int, tuple] = {}
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared scratch folder and read back: cuts lineage, survives lost executors."""
+def staged(df: DataFrame, name: str, path: str | None = None, **options: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back: cuts lineage, survives lost executors. With
+    ``path`` the table is written there and kept."""
     spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
-    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    target = path or scratch_path(spark, f"llm-{name}")
+    df.write.options(**options).parquet(target)
+    out = spark.read.schema(df.schema).parquet(target)
+    if path is None:
+        _staged.setdefault(spark.sparkContext.applicationId, []).append(target)
+        _read[id(out)] = weakref.ref(out, lambda _, key=id(out): _read.pop(key, None)), target
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables whose readers are done; tables kept under a path of the caller's stay."""
+    for df in tables:
+        _, path = _read.pop(id(df), (None, None))
+        if path:
+            _staged[df.sparkSession.sparkContext.applicationId].remove(path)
+            _delete(df.sparkSession, path)
 
 
 def bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
@@ -58,8 +78,7 @@ def clear_staged(spark: SparkSession) -> int:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     paths = _staged.pop(app, [])
     for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(spark, path)
     return len(paths) + len(tables)
 
 

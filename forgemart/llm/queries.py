@@ -7,7 +7,21 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from forgemart.llm import exact_dedup, html, katz, minhash, mixing, packing, quality, substrings, topk, toxicity
+from forgemart.llm import (
+    contamination,
+    exact_dedup,
+    html,
+    katz,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    ranking,
+    substrings,
+    topk,
+    toxicity,
+    whitening,
+)
 from forgemart.llm.common import table
 
 _shipped: set[str] = set()
@@ -77,5 +91,37 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: shipped(f) for f in (op1_exact_dedup, op2_packing, op3_quality, op4_minhash, op5_katz, op6_topk, op7_html, op8_substrings, op9_mixing, op10_toxicity)}
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op6_topk": topk.ORACLE_SQL}
+def op11_contamination(spark, sf_dir):
+    return contamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_ranking(spark, sf_dir):
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+_ALL = (
+    op1_exact_dedup,
+    op2_packing,
+    op3_quality,
+    op4_minhash,
+    op5_katz,
+    op6_topk,
+    op7_html,
+    op8_substrings,
+    op9_mixing,
+    op10_toxicity,
+    op11_contamination,
+    op12_ranking,
+    op13_whitening,
+)
+QUERIES = {f.__name__: shipped(f) for f in _ALL}
+ORACLES = {
+    "op1_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op6_topk": topk.ORACLE_SQL,
+    "op11_contamination": contamination.ORACLE_SQL,
+    "op12_ranking": ranking.ORACLE_SQL,
+}
