@@ -5,7 +5,8 @@
    with a third of all places is one short list per shard. The table is stored and can be searched again.
 2. A test phrase is looked up per shard. The places of its rarest word, moved back by that word's offset, are the
    candidate starts; the other words, rarest first, keep a candidate if they stand at their own offset from it. With
-   ``slack`` a word may stand up to so many words off: a proximity match. All phrases of a shard take each step at once.
+   ``slack`` each word may stand up to so many words off its place, a proximity match, and starts near those of the
+   rarest word are candidates too. All phrases of a shard take each step at once.
 3. Places that phrases cover are marked in the shard, so that overlapping matches count once.
 
 Test phrases are sent to the tasks in blocks of about ``BLOCK_WORDS`` words, whatever the size of the benchmark.
@@ -171,11 +172,18 @@ def matches(phrases: Phrases, terms: np.ndarray, places: np.ndarray, starts: np.
         within = np.arange(len(at)) - np.repeat(np.cumsum(number) - number, number)
         place = places[heads[rarest[at]] + within].astype(np.int64)
         doc = np.searchsorted(starts, place, side="right") - 1
-        first, last, start = place, place, place - order[at, 0]
-        if not slack:
+        start = place - order[at, 0]
+        if slack:
+            shifts = np.arange(-slack, slack + 1)
+            moved = (start[:, None] + shifts).ravel()
+            both = np.column_stack([np.repeat(at, len(shifts)), moved, np.repeat(doc, len(shifts))])
+            at, start, doc = np.unique(both, axis=0).T
+            first, last = np.full(len(at), span), np.full(len(at), -1)
+        else:
             fits = (start >= starts[doc]) & (start + phrases.lengths[alive[at]] <= ends[doc])
-            at, doc, first, last, start = at[fits], doc[fits], first[fits], last[fits], start[fits]
-        for step in range(1, phrases.rows.shape[1]):
+            at, doc, start = at[fits], doc[fits], start[fits]
+            first, last = start, start + phrases.lengths[alive[at]] - 1
+        for step in range(0 if slack else 1, phrases.rows.shape[1]):
             term = phrases.rows[alive[at], order[at, step]]
             here = start + order[at, step]
             low = np.maximum(here - slack, starts[doc])
@@ -183,11 +191,12 @@ def matches(phrases: Phrases, terms: np.ndarray, places: np.ndarray, starts: np.
             found = np.searchsorted(keys, term * span + low)
             hit = keys[np.minimum(found, len(keys) - 1)]
             good = (found < len(keys)) & (hit <= term * span + high) & (low <= high)
-            near = hit - term * span
             keep = good | (term < 0)
-            first = np.where(term < 0, first, np.minimum(first, near))[keep]
-            last = np.where(term < 0, last, np.maximum(last, near))[keep]
-            at, doc, start = at[keep], doc[keep], start[keep]
+            if slack:
+                near = hit - term * span
+                first = np.where(term < 0, first, np.minimum(first, near))
+                last = np.where(term < 0, last, np.maximum(last, near))
+            at, doc, start, first, last = at[keep], doc[keep], start[keep], first[keep], last[keep]
         yield alive[at], doc, first, last + 1
 
 
@@ -254,8 +263,9 @@ def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slack: int
     """One row per indexed document: shard, place (of the document in its shard), doc_id, n_words, spans (arrays of
     first word and word after the last, merged) and items (those with a window in the document, as sorted strings).
 
-    ``slack`` 0 finds phrases; above it every word of a window may stand so many words off its place beside the
-    rarest one, and the span reaches from the first to the last of them. A document without a match has empty arrays.
+    ``slack`` 0 finds phrases. Above it a window matches at a start if each of its words occurs within so many words
+    of its place from there; the span reaches from the first to the last of these words. A document without a match
+    has empty arrays.
     """
     if window < 1 or slack < 0:
         raise ValueError("window must be positive and slack not negative")
