@@ -5,6 +5,8 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgemart import bindings, jobs, schemas
@@ -14,7 +16,7 @@ from forgemart.checks.layers import _C1
 from forgemart.operators import incremental, keys, quality
 from forgemart.plans import bronze, silver, star
 from forgemart.session import scratch_path
-from forgemart.sources import gold, lake
+from forgemart.sources import gold, lake, versions
 
 
 def _dims(spark, d):
@@ -119,6 +121,32 @@ def _upserted_table(spark, d):
     return lake.read_silver(spark, paths, "orders")
 
 
+def _interrupted_upsert(spark, d):
+    """What readers see of a table while an upsert fails half-way, and what they see once it is repeated.
+
+    A reader who opened the table before that keeps the rows it opened.
+    """
+    path = scratch_path(spark, "versions")
+    orders = table(spark, d, "orders").select(
+        "o_orderkey", "o_orderpriority", "o_totalprice", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    versions.replace(spark, path, orders, ["year", "month"])
+    moved = orders.filter("year = 1997 AND o_orderpriority = '2-HIGH'").withColumns(
+        {"o_totalprice": F.col("o_totalprice") + 1, "month": F.lit(12)})
+    broken = moved.withColumn("o_totalprice", F.when(
+        F.hash("o_orderkey") % 5 == 0, F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("o_totalprice")))
+    opened = versions.read(spark, path, orders.schema)
+    try:
+        versions.merge(spark, path, broken, ["o_orderkey"], ["year", "month"])
+    except PySparkException:
+        pass
+    during = versions.read(spark, path, orders.schema)
+    delta = lake.staged(spark, moved, "delta").frame
+    versions.merge(spark, path, delta, ["o_orderkey"], ["year", "month"])
+    after = versions.read(spark, path, orders.schema)
+    seen = {"opened": opened, "during": during, "after": after}
+    return reduce(DataFrame.unionByName, [rows.withColumn("seen", F.lit(name)) for name, rows in seen.items()])
+
+
 def _incremental(spark, d):
     """Commits not loaded yet: per repository those from its mark on, and all of unknown repositories."""
     events = table(spark, d, "events").select("event_id", (F.col("event_id") % 25).alias("repo"), "ts")
@@ -371,6 +399,15 @@ CASES = {
                   CASE WHEN moved THEN 12 ELSE CAST(month(o_orderdate) AS INTEGER) END AS month
            FROM (SELECT *, year(o_orderdate) = 1997 AND o_orderpriority = '2-HIGH' AS moved FROM orders)""",
     ),
+    "E1_interrupted_upsert": (
+        _interrupted_upsert,
+        """SELECT o_orderkey, o_orderpriority, seen,
+                  CASE WHEN moved THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+                  CAST(year(o_orderdate) AS INTEGER) AS year,
+                  CASE WHEN moved THEN 12 ELSE CAST(month(o_orderdate) AS INTEGER) END AS month
+           FROM (SELECT *, seen = 'after' AND year(o_orderdate) = 1997 AND o_orderpriority = '2-HIGH' AS moved
+                 FROM orders, (VALUES ('opened'), ('during'), ('after')) v(seen))""",
+    ),
     "E2_incremental_rows": (
         _incremental,
         """SELECT event_id, event_id % 25 AS repo, ts FROM events e

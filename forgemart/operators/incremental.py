@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from forgemart.operators.dedup import latest_by_key
 
 
-def _by_key(rows: DataFrame, other: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+def by_key(rows: DataFrame, other: DataFrame, key: Sequence[str], how: str) -> DataFrame:
     """Semi- or anti-join on a key; nulls count as equal, as they do when a key is deduplicated."""
     side = other.select(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(key)])
     same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(key)]
@@ -25,7 +25,7 @@ def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[C
     the stored table is not shuffled at all.
     """
     latest = latest_by_key(new, key, order)
-    return _by_key(old, latest, key, "left_anti").unionByName(latest)
+    return by_key(old, latest, key, "left_anti").unionByName(latest)
 
 
 def touched_partitions(old: DataFrame, new: DataFrame, key: Sequence[str], parts: Sequence[str]) -> DataFrame:
@@ -34,7 +34,7 @@ def touched_partitions(old: DataFrame, new: DataFrame, key: Sequence[str], parts
     That is the partitions the incoming rows fall into and those that hold an older copy of one of them.
     Partition values are never null.
     """
-    hit = _by_key(old, new, key, "left_semi").select(*parts)
+    hit = by_key(old, new, key, "left_semi").select(*parts)
     changed = new.select(*parts).unionByName(hit).distinct()
     return old.join(changed, list(parts), "left_semi")
 

@@ -50,7 +50,7 @@ def clean(entity: str, bronze: DataFrame) -> DataFrame:
     Copies are ranked by landing day, then ``updated_at``, then all other columns, so the outcome does not
     depend on the order of the input. Undated rows go first: a copy without a date never displaces a good one.
     """
-    landed = _landing_day(bronze)
+    landed = landing_day(bronze)
     typed = typed_select(
         bronze.withColumn("_landed", landed),
         T.StructType([*schemas.silver(entity), T.StructField("_landed", T.IntegerType())]),
@@ -69,7 +69,8 @@ def clean(entity: str, bronze: DataFrame) -> DataFrame:
     return with_year_month(kept, moment) if moment else kept
 
 
-def _landing_day(bronze: DataFrame) -> Column:
+def landing_day(bronze: DataFrame) -> Column:
+    """The day a record landed as a number; null for records without one."""
     if {"year", "month", "day"} <= set(bronze.columns):
         y, m, d = (F.col(c).cast("int") for c in ("year", "month", "day"))
         return y * 10000 + m * 100 + d

@@ -14,7 +14,8 @@ from pyspark.sql.types import StructType
 from forgemart import schemas
 from forgemart.operators.dedup import latest_by_key
 from forgemart.operators.incremental import touched_partitions, upsert
-from forgemart.session import scratch_path
+from forgemart.sources import versions
+from forgemart.sources.files import Staged, counted_rows, delete, path_exists, staged, write_table
 
 LANDED = ("year", "month", "day")
 
@@ -38,16 +39,6 @@ class LakePaths:
         return f"{self.root.rstrip('/')}/{self.gold_prefix}/{table}"
 
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    files, hadoop_path = _file_system(spark, path)
-    return files.exists(hadoop_path)
-
-
 def read_bronze(
     spark: SparkSession, paths: LakePaths, entity: str, since: date | None = None, multi_line: bool = False
 ) -> DataFrame | None:
@@ -89,12 +80,15 @@ def write_bronze(df: DataFrame, paths: LakePaths, entity: str, landed: date, mod
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
-    """A stored table; None when it does not exist, or has neither files nor a given schema.
+    """A stored table, of a versioned one the latest version; None when it does not exist, or has neither files nor
+    a given schema.
 
     A damaged table raises.
     """
     if not path_exists(spark, path):
         return None
+    if versions.current(spark, path) is not None:
+        return versions.read(spark, path, schema)
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
     try:
@@ -121,45 +115,6 @@ def write_silver(
     return write_table(df, paths.silver(entity), part_cols, mode, only_touched)
 
 
-def write_table(
-    df: DataFrame, path: str, part_cols: Sequence[str] = (), mode: str = "overwrite", only_touched: bool = False
-) -> Observation:
-    """Write Parquet and count the rows while they pass.
-
-    A partitioned table is rebalanced on its partition columns first: small partitions are packed into few
-    files and a partition that holds most rows is split over many tasks. ``only_touched`` replaces just the
-    partitions present in ``df``.
-    """
-    counted, seen = counted_rows(df, path)
-    if part_cols:
-        counted = counted.hint("rebalance", *[F.col(c) for c in part_cols])
-    writer = counted.write.mode(mode)
-    writer = writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static")
-    if part_cols:
-        writer = writer.partitionBy(*part_cols)
-    writer.parquet(path)
-    return seen
-
-
-@dataclass(frozen=True)
-class Staged:
-    frame: DataFrame
-    rows: int
-
-
-def staged(spark: SparkSession, df: DataFrame, name: str) -> Staged:
-    """Store a frame in the scratch folder, for several passes over it that do not compute it again."""
-    path = scratch_path(spark, name)
-    rows = write_table(df, path).get["rows"]
-    return Staged(spark.read.schema(df.schema).parquet(path), rows)
-
-
-def counted_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows while they pass; read ``observation.get['rows']`` after the action."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def load_report(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of every table: one row per table."""
     counts = [
@@ -205,7 +160,7 @@ def upsert_table(
     ).collect()
     write_table(result, path, part_cols, only_touched=True)
     for row in emptied:
-        _delete(spark, path + "".join(f"/{c}={row[c]}" for c in part_cols))
+        delete(spark, path + "".join(f"/{c}={row[c]}" for c in part_cols))
 
 
 def upsert_silver(
@@ -218,8 +173,3 @@ def upsert_silver(
     order: Sequence[Column] = (),
 ) -> None:
     upsert_table(spark, paths.silver(entity), new, key, part_cols, order)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    files, hadoop_path = _file_system(spark, path)
-    files.delete(hadoop_path, True)
