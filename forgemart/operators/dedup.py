@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 SLICES = 256
 
 
-def _tie_break(df: DataFrame, skip: Sequence[str] = ()) -> list[Column]:
+def tie_break(df: DataFrame, skip: Sequence[str] = ()) -> list[Column]:
     """All remaining columns as sort keys, so equal-ranked rows that differ still have one order."""
     keys = []
     for field in df.schema.fields:
@@ -31,14 +31,14 @@ def _tie_break(df: DataFrame, skip: Sequence[str] = ()) -> list[Column]:
 
 def latest_by_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first by ``order`` and then by every other column."""
-    return _first_rows(df, key, [*order, *_tie_break(df, key)], 1)
+    return _first_rows(df, key, [*order, *tie_break(df, key)], 1)
 
 
 def cap_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of every key by ``order`` and then by every other column."""
     if n < 1:
         raise ValueError("n must be at least 1")
-    ranking = [*order, *_tie_break(df, key)]
+    ranking = [*order, *tie_break(df, key)]
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     # A slice is a function of the row alone, so a task that runs again cuts the same slices.
     sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*plain), F.lit(SLICES)))

@@ -206,6 +206,19 @@ MAX_LENGTH = {
     "fact_issues": {"state": 20, "milestone": 200},
     "repo_languages": {"language": 50},
 }
+# Gold tables and the silver tables that their rows are counted by.
+GOLD_SOURCES = {
+    "dim_repository": "repositories",
+    "dim_user": "contributors",
+    "fact_commits": "commits",
+    "fact_pull_requests": "pull_requests",
+    "fact_issues": "issues",
+    "repo_languages": "languages",
+}
+ALLOWED = {
+    "fact_pull_requests": {"state": ("open", "closed")},
+    "fact_issues": {"state": ("open", "closed")},
+}
 RUN_STATUSES = ("running", "completed", "failed", "completed_with_errors")
 RUN_LOG_DDL = """
     run_id STRING, started_at TIMESTAMP, completed_at TIMESTAMP, status STRING, repos_processed BIGINT,

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,7 +15,7 @@ from forgemart import schemas
 from forgemart.operators.dedup import latest_by_key
 from forgemart.operators.incremental import touched_partitions, upsert
 from forgemart.sources import versions
-from forgemart.sources.files import Staged, counted_rows, delete, path_exists, staged, write_table
+from forgemart.sources.files import RowCount, Staged, counted_rows, delete, path_exists, staged, write_table
 
 LANDED = ("year", "month", "day")
 
@@ -35,6 +35,9 @@ class LakePaths:
     def silver(self, entity: str) -> str:
         return f"{self.root.rstrip('/')}/{self.silver_prefix}/{entity}"
 
+    def run_log(self) -> str:
+        return f"{self.root.rstrip('/')}/run_log"
+
     def gold(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{self.gold_prefix}/{table}"
 
@@ -64,7 +67,7 @@ def read_bronze(
     return None if df.isEmpty() else df
 
 
-def write_bronze(df: DataFrame, paths: LakePaths, entity: str, landed: date, mode: str = "append") -> Observation:
+def write_bronze(df: DataFrame, paths: LakePaths, entity: str, landed: date, mode: str = "append") -> RowCount:
     """Land records as JSON lines below ``year=/month=/day=``."""
     stamped = df.withColumns(
         {
@@ -110,7 +113,7 @@ def write_silver(
     part_cols: Sequence[str] = (),
     mode: str = "overwrite",
     only_touched: bool = False,
-) -> Observation:
+) -> RowCount:
     """Write a silver table; the returned observation holds the row count of that same pass."""
     return write_table(df, paths.silver(entity), part_cols, mode, only_touched)
 
@@ -173,3 +176,20 @@ def upsert_silver(
     order: Sequence[Column] = (),
 ) -> None:
     upsert_table(spark, paths.silver(entity), new, key, part_cols, order)
+
+
+def merge_table(
+    spark: SparkSession,
+    path: str,
+    new: DataFrame,
+    key: Sequence[str],
+    part_cols: Sequence[str],
+    order: Sequence[Column] = (),
+) -> None:
+    """Merge rows by key into a versioned table, see ``versions.merge``; a plain Parquet table becomes its first
+    version."""
+    if versions.current(spark, path) is None:
+        plain = read_table(spark, path)
+        if plain is not None:
+            versions.replace(spark, path, plain, part_cols)
+    versions.merge(spark, path, new, key, part_cols, order)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,15 @@ class ConcurrentWrite(RuntimeError):
     """Another writer made this version first; nothing of this write is visible."""
 
 
+@dataclass(frozen=True)
+class Draft:
+    """A written version that no reader sees until it is published."""
+
+    path: str
+    number: int
+    manifest: DataFrame
+
+
 def current(spark: SparkSession, path: str) -> int | None:
     """Number of the latest version; None when the table has none."""
     return max((int(n) for n in child_names(spark, f"{path}/manifests") if n.isdigit()), default=None)
@@ -55,13 +65,14 @@ def read(
 
 
 def changes(
-    spark: SparkSession, path: str, since: int, schema: T.StructType | None = None
+    spark: SparkSession, path: str, since: int, schema: T.StructType | None = None, number: int | None = None
 ) -> DataFrame | None:
-    """The rows of the partitions written after version ``since``, as they are now; no other partition is read.
+    """The rows of the partitions written after version ``since``, as they are in version ``number``, by default the
+    latest; no other partition is read.
 
     A changed row is among them; so are unchanged ones beside it.
     """
-    return _rows(spark, path, manifest(spark, path).filter(F.col(LABEL) >= f"v{since + 1:010d}"), schema)
+    return _rows(spark, path, manifest(spark, path, number).filter(F.col(LABEL) >= f"v{since + 1:010d}"), schema)
 
 
 def _rows(spark: SparkSession, path: str, live: DataFrame, schema: T.StructType | None) -> DataFrame | None:
@@ -87,12 +98,25 @@ def _rows(spark: SparkSession, path: str, live: DataFrame, schema: T.StructType
 def replace(spark: SparkSession, path: str, df: DataFrame, parts: Sequence[str] = ()) -> int:
     """Make ``df`` the whole table; returns its number of rows. What ``df`` reads may be the table itself."""
     number = (current(spark, path) or 0) + 1
-    label, rows = _write(spark, path, df, parts, number)
-    _commit(spark, path, _counted(spark, path, label, df.schema, parts), number)
+    draft, rows = _draft(spark, path, df, parts, number)
+    publish(spark, draft)
     return rows
 
 
-def merge(
+def merge(spark: SparkSession, path: str, new: DataFrame, key: Sequence[str], *args, **kwargs) -> None:
+    """``prepare_merge`` and ``publish`` in one."""
+    publish(spark, prepare_merge(spark, path, new, key, *args, **kwargs))
+
+
+def publish(spark: SparkSession, draft: Draft) -> None:
+    """Make a draft the latest version by one rename; ``ConcurrentWrite`` if there is one of its number."""
+    folder = f"{draft.path}/manifests/_draft-{uuid.uuid4().hex}"
+    draft.manifest.coalesce(1).write.parquet(folder)  # one row per partition of the table
+    if not moved(spark, folder, f"{draft.path}/manifests/{draft.number:010d}"):
+        raise ConcurrentWrite(f"version {draft.number} of {draft.path} was made by another writer")
+
+
+def prepare_merge(
     spark: SparkSession,
     path: str,
     new: DataFrame,
@@ -101,8 +125,8 @@ def merge(
     order: Sequence[Column] = (),
     latest_wins: bool = False,
     stable: bool = False,
-) -> None:
-    """Merge rows by key into a table, which the first merge creates.
+) -> Draft:
+    """Write the table with ``new`` merged by key; the first merge creates it.
 
     Of several incoming rows the first by ``order`` counts. It replaces the stored row of its key; with
     ``latest_wins`` the first of both by ``order`` stays, so rows may come in any order and any number of times.
@@ -115,9 +139,10 @@ def merge(
     incoming = latest_by_key(new, key, order)
     stored = None if number is None else read(spark, path, new.schema, number)
     if stored is None:
-        replace(spark, path, incoming, parts)
-        return
+        return _draft(spark, path, incoming, parts, (number or 0) + 1)[0]
     live = manifest(spark, path, number)
+    if set(live.columns) != {*parts, LABEL, ROWS}:
+        raise ValueError(f"{path} is not partitioned by {', '.join(parts) or 'nothing'}")
     if parts and stable:
         here = live.join(incoming.select(*parts).distinct(), list(parts), "left_semi")
         stored = _rows(spark, path, here, new.schema)
@@ -136,9 +161,7 @@ def merge(
     if latest_wins:
         winners = latest_by_key(by_key(old, incoming, key, "left_semi").unionByName(incoming), key, order)
     result = by_key(old, incoming, key, "left_anti").unionByName(winners)
-    label, _ = _write(spark, path, result, parts, number + 1)
-    fresh = _counted(spark, path, label, new.schema, parts)
-    _commit(spark, path, untouched.unionByName(fresh), number + 1)
+    return _draft(spark, path, result, parts, number + 1, untouched)[0]
 
 
 def vacuum(spark: SparkSession, path: str, keep: int = 1) -> int:
@@ -161,21 +184,14 @@ def vacuum(spark: SparkSession, path: str, keep: int = 1) -> int:
     return len(dead)
 
 
-def _write(spark: SparkSession, path: str, df: DataFrame, parts: Sequence[str], number: int) -> tuple[str, int]:
+def _draft(
+    spark: SparkSession, path: str, df: DataFrame, parts: Sequence[str], number: int, others: DataFrame | None = None
+) -> tuple[Draft, int]:
+    """Write rows and draft the manifest that adds them to ``others``; the number of rows."""
     label = f"v{number:010d}-{uuid.uuid4().hex[:8]}"
-    return label, write_table(df, f"{path}/data/{LABEL}={label}", parts).get["rows"]
-
-
-def _counted(spark: SparkSession, path: str, label: str, schema: T.StructType, parts: Sequence[str]) -> DataFrame:
-    """The manifest rows of a write, from the row counts in its files."""
-    typed = T.StructType([f for f in schema if f.name not in parts] + [schema[c] for c in parts])
-    written = spark.read.schema(typed).parquet(f"{path}/data/{LABEL}={label}")
-    counts = written.groupBy(*parts).agg(F.count(F.lit(1)).alias(ROWS))
-    return counts.select(*parts, F.lit(label).alias(LABEL), ROWS)
-
-
-def _commit(spark: SparkSession, path: str, rows: DataFrame, number: int) -> None:
-    draft = f"{path}/manifests/_draft-{uuid.uuid4().hex}"
-    rows.coalesce(1).write.parquet(draft)  # one row per partition of the table
-    if not moved(spark, draft, f"{path}/manifests/{number:010d}"):
-        raise ConcurrentWrite(f"version {number} of {path} was made by another writer")
+    folder = f"{path}/data/{LABEL}={label}"
+    rows = write_table(df, folder, parts).get["rows"]
+    typed = T.StructType([f for f in df.schema if f.name not in parts] + [df.schema[c] for c in parts])
+    counts = spark.read.schema(typed).parquet(folder).groupBy(*parts).agg(F.count(F.lit(1)).alias(ROWS))
+    fresh = counts.select(*parts, F.lit(label).alias(LABEL), ROWS)
+    return Draft(path, number, fresh if others is None else others.unionByName(fresh)), rows
