@@ -155,16 +155,25 @@ def malformed_names(df: DataFrame, column: str = "full_name") -> DataFrame:
     return df.filter(F.col(column).isNull() | texts.repo_of(F.col(column)).isNull())
 
 
-def cap_repos(repos: DataFrame, n: int = 50) -> DataFrame:
+def cap_repos(repos: DataFrame, n: int) -> DataFrame:
     """Per owner the ``n`` most recently updated repositories."""
     return dedup.cap_per_key(repos, ["owner"], [F.col("updated_at").desc_nulls_last(), F.col("id")], n)
 
 
-def cap_feed(records: DataFrame, entity: str, pages: int | None = None) -> DataFrame:
-    """Per repository the first pages of an entity's feed, in the order of the feed; ties go by its key."""
-    sorted_by, key, usual = FEEDS[entity]
+def cap_feed(records: DataFrame, entity: str, pages: int) -> DataFrame:
+    """Per repository the first ``pages`` of an entity's feed, in the order of the feed; ties go by its key.
+
+    ``FEEDS`` has the usual number of pages; ``rows_over`` tells what a cap leaves out.
+    """
+    sorted_by, key, _ = FEEDS[entity]
     order = [F.col(sorted_by).desc_nulls_last(), F.col(key)]
-    return dedup.cap_per_key(records, ["repository_full_name"], order, (pages or usual) * ROWS_PER_PAGE)
+    return dedup.cap_per_key(records, ["repository_full_name"], order, pages * ROWS_PER_PAGE)
+
+
+def rows_over(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Rows that a cap of ``n`` per key leaves out, for the keys that have more."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.filter(F.col("n_rows") > n).select(key, (F.col("n_rows") - n).alias("n_left_out"))
 
 
 def since_filter(df: DataFrame, column: str, moment: datetime | Column) -> DataFrame:
