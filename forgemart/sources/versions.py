@@ -2,8 +2,9 @@
 
 A table folder holds ``data/version=<label>/<partitions>`` and ``manifests/<number>``. A manifest is a Parquet table
 with one row per live partition: its values, the label of the write that holds its rows, and their number. Reading
-joins the data to a manifest on its partition columns, so Spark prunes the folders that are not live while it plans
-the scan. A write adds a folder of data, then a manifest, which one rename makes the latest: what an interrupted
+joins the data to a manifest on its partition columns, so Spark prunes folders at run time: those of labels, and of
+partition values, that are not live at all. A replaced folder is opened only while its write has other live partitions,
+and its rows then fall to the join. A write adds a folder of data, then a manifest, which one rename makes the latest: what an interrupted
 write leaves behind is in no manifest. Files of live or earlier versions are never changed; ``vacuum`` deletes those
 that no kept manifest names. Two writers at once are told apart when the second renames: it fails and can be repeated.
 """

@@ -1,14 +1,16 @@
 """The batch jobs from landed files to the stored star."""
 
+import json
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from forgemart import schemas
-from forgemart.jobs import bronze_to_silver, silver_to_gold
+from forgemart.jobs import bronze_to_silver, ingest, silver_to_gold
 from forgemart.plans import commits, repositories, star
 from forgemart.session import RUNTIME_CONF, configure, scratch_path
-from forgemart.sources import lake
+from forgemart.sources import gold, lake
 from test_lake import land
 
 
@@ -147,3 +149,97 @@ def test_early_and_late_dates_survive_storage(spark, tmp_path):
     early = spark.createDataFrame([(date(1000, 1, 1),), (date(9999, 12, 31),)], "d date")
     early.write.parquet(str(tmp_path / "t"))
     assert sorted(r.d for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [date(1000, 1, 1), date(9999, 12, 31)]
+
+
+def run_log(spark, paths):
+    rows = spark.read.schema(schemas.RUN_LOG_DDL).parquet(paths.run_log()).orderBy("started_at").collect()
+    return [(r.status, r.total_commits, r.errors) for r in rows]
+
+
+def test_facts_wait_for_their_repository(spark, tmp_path):
+    paths = lake.LakePaths(str(tmp_path))
+    land(tmp_path, "repositories", 1, "a_b", repository(1, "a/b"))
+    land(tmp_path, "commits", 1, "a_b", [commit("s1", "ann"), commit("s2", "ann", repo="a/late", when="2024-03-01T00:00:00Z")])
+    bronze_to_silver(spark, paths, multi_line=True)
+    first = silver_to_gold(spark, paths, "1")
+    assert [r.sha for r in first.commits.collect()] == ["s1"]
+    land(tmp_path, "commits", 2, "a_b", [commit("s3", "ann", when="2024-02-01T00:00:00Z")])
+    bronze_to_silver(spark, paths, since=date(2024, 1, 2), multi_line=True)
+    second = silver_to_gold(spark, paths, "2", incremental=True)
+    assert sorted(r.sha for r in second.commits.collect()) == ["s1", "s3"]
+    land(tmp_path, "repositories", 3, "a_late", repository(2, "a/late"))
+    bronze_to_silver(spark, paths, since=date(2024, 1, 3), multi_line=True)
+    for load in ("3", "3"):  # a repeated load gives the same
+        third = silver_to_gold(spark, paths, load, incremental=True)
+        assert sorted(r.sha for r in third.commits.collect()) == ["s1", "s2", "s3"]
+        assert spark.read.parquet(paths.gold("quarantine_commits") + f"/load={load}").isEmpty()
+    found = {r.full_name: r.total_commits for r in repositories.repository_overview(third).collect()}
+    assert found == {"a/b": 2, "a/late": 1}
+    fourth = silver_to_gold(spark, paths, "4", incremental=True)  # nothing has changed
+    assert fourth.commits.count() == 3
+    done = gold.finished_load(spark, paths, "4")
+    assert done["loaded"]["fact_commits"] == 0 and done["silver_versions"]["commits"] == 2
+
+
+def test_an_incremental_load_reads_changed_months_only(spark, tmp_path, monkeypatch):
+    paths = lake.LakePaths(str(tmp_path))
+    land(tmp_path, "repositories", 1, "a_b", repository(1, "a/b"))
+    land(tmp_path, "commits", 1, "a_b", [commit(f"s{m}", "ann", when=f"2023-{m:02}-05T00:00:00Z") for m in range(1, 13)])
+    bronze_to_silver(spark, paths, multi_line=True)
+    silver_to_gold(spark, paths, "1")
+    land(tmp_path, "commits", 2, "a_b", [commit("s99", "ann", when="2023-07-09T00:00:00Z")])
+    bronze_to_silver(spark, paths, since=date(2024, 1, 2), multi_line=True)
+    seen = {}
+    load_star = gold.load_star
+    monkeypatch.setattr(gold, "load_star", lambda s, tables, *a, **k: seen.update(tables) or load_star(s, tables, *a, **k))
+    built = silver_to_gold(spark, paths, "2", incremental=True)
+    assert built.commits.count() == 13
+    assert sorted(r.sha for r in seen["commits"].collect()) == ["s7", "s99"]
+    assert "dynamicpruning" in seen["commits"]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_that_break_constraints_are_set_aside_with_reasons(spark, tmp_path):
+    paths = lake.LakePaths(str(tmp_path))
+    land(tmp_path, "repositories", 1, "a_b", [repository(1, "a/b"), repository(None, "a/x"), repository(3, "a/" + "y" * 300)])
+    land(tmp_path, "commits", 1, "a_b", [commit("s1", "ann"), commit("l" * 41, "ann"), commit(None, "bob", repo="no/ne")])
+    users = [{"id": 7, "login": "ann"}, {"id": 7, "login": "ann2"}, {"id": 8, "login": None}, {"id": None, "login": "carl"}]
+    land(tmp_path, "contributors", 1, "a_b", [{"repository_full_name": f"a/{k}", **u} for k, u in enumerate(users)])
+    bronze_to_silver(spark, paths, multi_line=True)
+    built = silver_to_gold(spark, paths, "1")
+
+    def reasons(name):
+        rows = spark.read.parquet(f"{paths.gold(f'rejected_{name}')}/load=1").collect()
+        return sorted(r.reasons for r in rows)
+
+    assert [r.sha for r in built.commits.collect()] == ["s1"]
+    assert reasons("fact_commits") == [["sha has over 40 characters"], ["sha is null", "repository_id is null"]]
+    assert reasons("dim_repository") == [["full_name has over 255 characters", "name has over 200 characters"], ["github_repo_id is null"]]
+    assert reasons("dim_user") == [["github_user_id occurs twice"], ["login is null"]]
+    assert built.user.count() == 3
+    assert run_log(spark, paths)[-1] == (
+        "completed_with_errors", 1, ["dim_repository: 2 rows rejected", "dim_user: 2 rows rejected", "fact_commits: 2 rows rejected"])
+
+
+def test_every_run_is_logged(spark, tmp_path):
+    paths = lake.LakePaths(str(tmp_path))
+    payloads = {
+        "commits": spark.createDataFrame([('{"sha": "s1", "repository_full_name": "a/b"}',), ("{nope",)], "payload string"),
+        "issues": spark.createDataFrame([("{}",)], "payload string").withColumn("payload", F.raise_error(F.lit("lost")).cast("string")),
+        "contributors": spark.createDataFrame([], "payload string"),
+    }
+    assert ingest(spark, paths, payloads, date(2024, 1, 1)) == {"commits": 1, "issues": 0, "contributors": 0}
+    assert bronze_to_silver(spark, paths)["commits"] == 0  # undated
+    land(tmp_path, "repositories", 1, "bad", "{nope")
+    with pytest.raises(ValueError):
+        bronze_to_silver(spark, paths)
+    log = run_log(spark, paths)
+    assert [(s, n) for s, n, _ in log] == [("completed_with_errors", 1), ("completed", 0), ("failed", 0)]
+    assert log[0][2][0] == "commits: 1 unreadable payloads" and log[0][2][1].startswith("issues: ")
+    assert log[2][2][1].startswith("repositories: 1 unreadable") or "no readable record" in " ".join(log[2][2])
+
+
+def test_ingested_commits_start_at_a_moment(spark, tmp_path):
+    paths = lake.LakePaths(str(tmp_path))
+    texts = [json.dumps({"sha": f"s{d}", "commit": {"author": {"date": f"2024-01-0{d}T00:00:00Z"}}}) for d in (1, 2, 3)]
+    payloads = {"commits": spark.createDataFrame([(t,) for t in texts], "payload string")}
+    assert ingest(spark, paths, payloads, date(2024, 2, 1), commits_since=F.lit("2024-01-02T00:00:00Z")) == {"commits": 2}

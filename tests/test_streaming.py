@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from forgemart.plans import silver
+from forgemart.sources import versions
 from forgemart.sources.lake import LakePaths
 from forgemart.streaming import feeds
 
@@ -59,19 +61,98 @@ def test_window_arguments(spark, bad):
         feeds.windowed_counts(spark.readStream.format("rate").load(), "timestamp", "1 hour", **bad)
 
 
-def test_a_repeated_batch_overwrites_itself(spark, tmp_path):
+def test_stale_rows_of_a_lost_checkpoint_never_win(spark, tmp_path):
     source, facts = tmp_path / "in", str(tmp_path / "facts")
-    drop(source, "1.json", [{"id": 1, "v": 1}, {"id": 2, "v": 1}])
-    stream = spark.readStream.schema("id int, v int").json(str(source))
+    drop(source, "1.json", [{"id": 1, "v": 1, "at": 1}, {"id": 2, "v": 1, "at": 1}])
+    stream = spark.readStream.schema("id int, v int, at int").json(str(source))
 
     def to_fact(batch):
         return batch.withColumn("w", F.col("v") * 10)
 
-    feeds.stream_load(stream, to_fact, facts, str(tmp_path / "check")).awaitTermination()
-    # A lost checkpoint replays the first batch.
-    feeds.stream_load(stream, to_fact, facts, str(tmp_path / "other")).awaitTermination()
-    assert spark.read.parquet(facts).count() == 2
-    drop(source, "2.json", [{"id": 2, "v": 7}, {"id": 3, "v": 1}])
-    feeds.stream_load(stream, to_fact, facts, str(tmp_path / "check")).awaitTermination()
-    rows = feeds.loaded_facts(spark, facts, ["id"]).orderBy("id").collect()
-    assert [(r.id, r.v, r.w) for r in rows] == [(1, 1, 10), (2, 7, 70), (3, 1, 10)]
+    def load(check, feed="main"):
+        feeds.stream_load(stream, to_fact, facts, str(tmp_path / check), feed).awaitTermination()
+
+    def current():
+        return [tuple(r) for r in feeds.loaded_facts(spark, facts, ["id"], "at").select("id", "v", "w").orderBy("id").collect()]
+
+    load("check")
+    load("other")  # a lost checkpoint replays the first batch
+    assert current() == [(1, 1, 10), (2, 1, 10)]
+    drop(source, "2.json", [{"id": 2, "v": 7, "at": 2}, {"id": 3, "v": 1, "at": 1}])
+    load("check")
+    assert current() == [(1, 1, 10), (2, 7, 70), (3, 1, 10)]
+    assert feeds.compact_log(spark, facts, ["id"], "at") == 6
+    assert feeds.compact_log(spark, facts, ["id"], "at") == 0
+    assert current() == [(1, 1, 10), (2, 7, 70), (3, 1, 10)]
+    (source / "2.json").unlink()
+    load("third")  # the early states again, after the late ones were folded
+    assert current() == [(1, 1, 10), (2, 7, 70), (3, 1, 10)]
+    drop(source, "3.json", [{"id": 1, "v": 9, "at": 5}])
+    load("feed-b", "b")  # another feed starts with batch 0 as well
+    assert current() == [(1, 9, 90), (2, 7, 70), (3, 1, 10)]
+    feeds.compact_log(spark, facts, ["id"], "at")
+    assert current() == [(1, 9, 90), (2, 7, 70), (3, 1, 10)]
+
+
+def test_a_repeated_batch_is_logged_once(spark, tmp_path):
+    source, facts, check = tmp_path / "in", str(tmp_path / "facts"), tmp_path / "check"
+    drop(source, "1.json", [{"id": 1, "v": 1}])
+    stream = spark.readStream.schema("id int, v int").json(str(source))
+    feeds.stream_load(stream, lambda batch: batch, facts, str(check)).awaitTermination()
+    for name in ("0", ".0.crc"):
+        (check / "commits" / name).unlink(missing_ok=True)  # the batch ran, its commit was lost
+    feeds.stream_load(stream, lambda batch: batch, facts, str(check)).awaitTermination()
+    assert spark.read.parquet(f"{facts}/log").count() == 1
+    rows = feeds.loaded_facts(spark, facts, ["id"])
+    assert [(r.id, r.v) for r in rows.collect()] == [(1, 1)] and rows.columns == ["id", "v"]
+
+
+def pull(i, state, updated, created="2019-05-01T00:00:00Z", **more):
+    return {"id": i, "repository_full_name": "a/b", "state": state, "created_at": created, "updated_at": updated, **more}
+
+
+def test_the_latest_record_stays_whatever_arrives_last(spark, tmp_path):
+    paths, table, check = LakePaths(str(tmp_path)), str(tmp_path / "table"), str(tmp_path / "check")
+    folder = tmp_path / "bronze/pull_requests/year=2024/month=01"
+
+    def run():
+        stream = feeds.read_bronze_stream(spark, paths, "pull_requests", files_per_trigger=1)
+        feeds.merge_records(feeds.stream_versions(stream, "pull_requests", "1 second"), "pull_requests", table, check).awaitTermination()
+        rows = feeds.merged_records(spark, table, "pull_requests").orderBy("github_pr_id").collect()
+        return [(r.github_pr_id, r.state, r.draft, r.time_to_merge_hours) for r in rows]
+
+    assert feeds.merged_records(spark, table, "pull_requests") is None
+    drop(folder / "day=05", "1.json", [pull(1, "open", "2024-01-05T00:00:00Z"), pull(2, "closed", "2024-01-05T00:00:00Z")])
+    assert run() == [(1, "open", False, None), (2, "closed", False, None)]
+    merged = "2019-05-01T02:00:00Z"
+    drop(folder / "day=06", "2.json", [pull(1, "closed", "2024-01-06T00:00:00Z", merged_at=merged)])
+    drop(folder / "day=04", "3.json", [pull(2, "open", "2024-01-09T00:00:00Z"), pull(3, "open", "2024-01-01T00:00:00Z", created="1999-01-01T00:00:00Z")])
+    expected = [(1, "closed", False, 2.0), (2, "closed", False, None), (3, "open", False, None)]
+    assert run() == expected  # an earlier landing day never wins, an old creation date is not late
+    drop(folder / "day=06", "4.json", [pull(1, "closed", "2024-01-06T00:00:00Z", merged_at=merged), pull(9, "open", "", created="")])
+    assert run() == expected
+    batch = spark.read.schema(feeds.read_bronze_stream(spark, paths, "pull_requests").schema).json(paths.bronze("pull_requests"))
+    by_batch = silver.clean("pull_requests", batch)
+    streamed = feeds.merged_records(spark, table, "pull_requests").select(by_batch.columns)
+    assert streamed.exceptAll(by_batch).isEmpty() and by_batch.exceptAll(streamed).isEmpty()
+
+
+def test_open_windows_are_stored_and_sessions_closed(spark, tmp_path):
+    source, closings = tmp_path / "in", str(tmp_path / "closings")
+    drop(source, "1.json", [{"ts": "2024-01-01T01:00:00", "u": "x"}, {"ts": "2024-01-01T02:00:00", "u": "x"}])
+    events = spark.readStream.schema("ts timestamp, u string").json(str(source))
+    daily = feeds.windowed_counts(events, "ts", "1 hour", size="1 day")
+
+    def stored():
+        feeds.merge_windows(daily, str(tmp_path / "days"), ["window_start"], str(tmp_path / "check")).awaitTermination()
+        return [(r.window_start.day, r.n_rows) for r in versions.read(spark, str(tmp_path / "days")).orderBy("window_start").collect()]
+
+    assert stored() == [(1, 2)]
+    drop(source, "2.json", [{"ts": "2024-01-01T03:00:00", "u": "x"}, {"ts": "2024-01-02T00:00:00", "u": "y"}])
+    assert stored() == [(1, 3), (2, 1)]
+    feeds.close_feed(spark, "ts", closings)
+    both, closing = feeds.with_closing(events, "ts", closings)
+    sessions = feeds.windowed_counts(both, "ts", "1 hour", gap="90 minutes", by=["u"], closing=closing)
+    feeds.append_to(sessions, str(tmp_path / "out"), str(tmp_path / "ends")).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out")).orderBy("u").collect()
+    assert [(r.u, r.n_rows) for r in rows] == [("x", 3), ("y", 1)]
