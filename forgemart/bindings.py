@@ -192,7 +192,7 @@ def _login(name: Column) -> Column:
     return F.when(name.isNotNull(), F.struct(name.alias("login")))
 
 
-def _raw_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(
         key.alias("id"),
@@ -288,7 +288,7 @@ def language_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_payloads(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """JSON texts as the API would send them, in ``payload``."""
     raw = {
-        "repositories": _raw_repositories,
+        "repositories": raw_repositories,
         "commits": _raw_commits,
         "pull_requests": _raw_pull_requests,
         "issues": _raw_issues,

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from forgemart import schemas
-from forgemart.bindings import bronze_records, raw_payloads, silver_commits, table
+from forgemart.bindings import bronze_records, raw_payloads, raw_repositories, silver_commits, table
 from forgemart.checks.base import flat, iso, sql
 from forgemart.functions import times
 from forgemart.operators import dedup, quality
@@ -222,6 +222,15 @@ def _isolated_errors(spark, sf_dir):
     return lake.load_report({"accepted": records, "rejected": bad})
 
 
+def _explicit_nulls(spark, sf_dir):
+    """Payloads some of which give their empty keys as null and some leave them out."""
+    raw = raw_repositories(spark, sf_dir)
+    given = F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"})
+    texts_df = raw.select(F.when(F.col("id") % 7 < 3, given).otherwise(F.to_json(F.struct(*raw.columns))).alias("payload"))
+    records = bronze.normalize("repositories", bronze.parse_payloads(texts_df, "repositories", exact_nulls=True))
+    return flat(records.select("id", "default_branch", "is_private", "stars_count", "watchers_count", "topics", "license_name"))
+
+
 def _run_log(spark, sf_dir):
     """A run's summary appended to the log and read back."""
     frames = {e: bronze_records(spark, sf_dir, e) for e in schemas.ENTITIES}
@@ -274,6 +283,16 @@ CASES = {
             F.count(F.lit(1)).alias("n_rows")),
         f"SELECT author_name, committer_name, count(*) AS n_rows FROM ({_N2}) GROUP BY ALL",
     ),
+    "N8_explicit_nulls_stay": (
+        _explicit_nulls,
+        """SELECT c_custkey AS id, CASE WHEN c_custkey % 5 <> 0 THEN 'trunk' WHEN NOT given THEN 'main' END AS default_branch,
+                  CASE WHEN c_custkey % 2 <> 0 THEN TRUE WHEN NOT given THEN FALSE END AS is_private,
+                  CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_custkey % 1000 AS INTEGER) WHEN NOT given THEN 0 END AS stars_count,
+                  0 AS watchers_count,
+                  CASE WHEN c_custkey % 6 <> 0 THEN c_mktsegment || ',x' WHEN NOT given THEN '' END AS topics,
+                  CASE WHEN c_custkey % 4 <> 0 THEN 'MIT' END AS license_name
+           FROM (SELECT *, c_custkey % 7 < 3 AS given FROM customer)""",
+    ),
     "N9_allowed_repositories": (
         lambda spark, d: bronze.allow_repos(
             bronze_records(spark, d, "commits").select(F.col("repository_full_name").alias("full_name"), "sha", "day"),

@@ -8,7 +8,9 @@ from forgemart.bindings import AS_OF, bind
 from forgemart.checks.base import sql
 from forgemart.functions import numbers, times
 from forgemart.operators import keys, median
-from forgemart.plans import commits, dashboard, issues, params, pulls, repositories
+from forgemart.plans import commits, dashboard, issues, params, partials, pulls, repositories
+from forgemart.session import scratch_path
+from forgemart.sources import versions
 
 
 def _on(query):
@@ -165,6 +167,18 @@ def _joined_dates(star):
     )
 
 
+def _from_partials(query):
+    """A query over stored daily partials of the commits."""
+
+    def run(spark, sf_dir):
+        star, path = bind(spark, sf_dir), scratch_path(spark, "partials")
+        rows = partials.daily_partials(star.commits)
+        versions.replace(spark, path, rows)
+        return query(versions.read(spark, path, rows.schema), star)
+
+    return run
+
+
 CASES = {
     # Views
     "V1_repository_overview": (_on(repositories.repository_overview), sql(_OVER, _OVERVIEW)),
@@ -258,6 +272,19 @@ CASES = {
         _on(lambda s: commits.recent_commits(s, F.lit(AS_OF), 10)),
         sql("fc", f"SELECT count(*) AS recent_commits FROM fc WHERE authored_at >= TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY"),
     ),
+    "A2_weekly_timeline_from_partials": (
+        _from_partials(lambda p, s: partials.commit_timeline(p, s.date, "weekly", 8)), _timeline_sql("week", 8),
+    ),
+    "A2_monthly_timeline_from_partials": (
+        _from_partials(lambda p, s: partials.commit_timeline(p, s.date, "monthly", 12)), _timeline_sql("month", 12),
+    ),
+    "V2_daily_activity_from_partials": (
+        _from_partials(partials.daily_commit_activity),
+        sql("repo fc cal", f"""
+            SELECT full_date, year, month, day_name, is_weekend, full_name AS repository, {_ACTIVITY}
+            FROM fc JOIN cal USING (date_id) JOIN repo USING (repository_id)
+            GROUP BY full_date, year, month, day_name, is_weekend, full_name"""),
+    ),
     "Q17_dense_commit_timeline": (
         _on(lambda s: commits.dense_commit_timeline(s, AS_OF)), sql("fc cal", _dense_sql()),
     ),

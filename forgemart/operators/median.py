@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Width of a coarse bucket in hours (2^15 seconds). A century of second-precision durations has about 96,000
@@ -28,6 +28,42 @@ def grouped_median(df: DataFrame, keys: Sequence[str], hours: str, name: str) ->
         .groupBy(*keys, F.col(hours).alias("_value"), bucket.alias("_bucket"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    return _median_of_counts(counted, keys, name)
+
+
+def grouped_summary(
+    df: DataFrame, keys: Sequence[str], hours: str, counts: Mapping[str, Column], mean: str, median: str
+) -> DataFrame:
+    """``keys``, the rows of each group for which the conditions in ``counts`` hold, and the mean and the interpolated
+    median of ``hours``, from one scan. Null keys are groups of their own; without keys there is always one row.
+
+    Counts and values go through one shuffle, which all branches read. Nothing in it may be null but the value: a join
+    would add conditions that make the branches differ. So the keys travel as a struct, and values that are null have
+    a bucket of their own.
+    """
+    keys = list(keys)
+    bucket = F.coalesce(F.floor(F.col(hours) / F.lit(BUCKET_HOURS)), F.lit(_NO_BUCKET))
+    grouped = [F.struct(*keys).alias("_key")] if keys else []
+    counted = df.groupBy(*grouped, F.col(hours).alias("_value"), bucket.alias("_bucket")).agg(
+        F.count(hours).alias("_n"), *[F.count_if(condition).alias(name) for name, condition in counts.items()]
+    )
+    zero = F.lit(0).cast("bigint")
+    of_group = ["_key"] if keys else []
+    totals = counted.groupBy(*of_group).agg(
+        *[F.coalesce(F.sum(name), zero).alias(name) for name in counts],
+        F.try_divide(F.sum(F.col("_value") * F.col("_n")), F.sum("_n")).alias(mean),
+    )
+    medians = _median_of_counts(counted.filter("_n > 0").select(*of_group, "_value", "_bucket", "_n"), of_group, median)
+    if not keys:
+        return totals.withColumn(median, medians.scalar())
+    return totals.join(medians, "_key", "left").select("_key.*", *[c for c in totals.columns if c != "_key"], median)
+
+
+_NO_BUCKET = -(2**62)
+
+
+def _median_of_counts(counted: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``keys`` and the median of the values in ``counted``: keys, _value, _bucket and _n."""
     group = Window.partitionBy(*keys)
     upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     low, high = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)

@@ -23,20 +23,52 @@ FEEDS = {
 }
 
 
-def parse_payloads(texts_df: DataFrame, entity: str, column: str = "payload") -> DataFrame:
+NULLS = "_null_keys"
+
+
+def parse_payloads(
+    texts_df: DataFrame, entity: str, column: str = "payload", exact_nulls: bool = False
+) -> DataFrame:
     """JSON text to typed payload columns; text that does not fit the schema is kept in ``_corrupt_record``.
 
+    ``exact_nulls`` also parses the text as a VARIANT, which tells a key that is there with a null from one that is
+    absent, and notes the former in ``_null_keys``: ``normalize`` then gives only absent keys their default.
+
     The parsed payload goes through a generator: conditions on it are not pushed below, which would parse every
     text once more.
     """
     schema = schemas.struct(schemas.RAW_DDL[entity] + ", _corrupt_record STRING")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    others = [c for c in texts_df.columns if c != column]
+    if exact_nulls:
+        texts_df = texts_df.withColumn("_variant", F.try_parse_json(column))
+        given = [
+            F.when(F.is_variant_null(F.try_variant_get("_variant", f"$.{key}", "variant")), F.lit(key))
+            for key in _defaulted(entity)
+        ]
+        texts_df = texts_df.withColumn(NULLS, F.array_compact(F.array(*given)))
+        others.append(NULLS)
     payload = F.from_json(F.col(column), schema, options)
-    return texts_df.select(*[c for c in texts_df.columns if c != column], F.inline(F.array(payload)))
+    return texts_df.select(*others, F.inline(F.array(payload)))
+
+
+def _value(default: object) -> Column:
+    return F.array().cast("array<string>") if isinstance(default, list) else F.lit(default)
 
 
-def _or(column: str, default: object) -> Column:
-    return F.coalesce(F.col(column), F.lit(default))
+def _or_default(key: str, default: object) -> Column:
+    return F.coalesce(F.col(key), _value(default))
+
+
+def _or_default_if_absent(key: str, default: object) -> Column:
+    return F.coalesce(F.col(key), F.when(~F.array_contains(NULLS, key), _value(default)))
+
+
+def _defaulted(entity: str) -> list[str]:
+    """The payload keys of an entity that have a default."""
+    keys: list[str] = []
+    _MAPPED[entity](lambda key, default: keys.append(key) or F.lit(None))
+    return keys
 
 
 def names_of(items: str, field: str) -> Column:
@@ -45,10 +77,10 @@ def names_of(items: str, field: str) -> Column:
     return F.coalesce(F.transform(items, lambda item: F.coalesce(item[field], F.lit(""))), empty)
 
 
-# Per entity, bronze columns that are not a plain copy of the payload field of the same name. An explicit null
-# gets the default as well as an absent key: a typed read cannot tell them apart.
+# Per entity, bronze columns that are not a plain copy of the payload field of the same name. ``_or`` says what a key
+# without a value becomes.
 _MAPPED = {
-    "repositories": lambda: {
+    "repositories": lambda _or: {
         "owner": F.col("owner.login"),
         "default_branch": _or("default_branch", "main"),
         "is_private": _or("private", False),
@@ -60,11 +92,11 @@ _MAPPED = {
         "size_kb": _or("size", 0),
         "created_at": _or("created_at", ""),
         "updated_at": _or("updated_at", ""),
-        "topics": F.coalesce(F.col("topics"), F.array().cast("array<string>")),
+        "topics": _or("topics", []),
         "license_name": F.col("license.spdx_id"),
         "html_url": _or("html_url", ""),
     },
-    "commits": lambda: {
+    "commits": lambda _or: {
         "author_login": F.col("author.login"),
         "author_name": _or("commit.author.name", "Unknown"),
         "author_email": _or("commit.author.email", ""),
@@ -79,7 +111,7 @@ _MAPPED = {
         "files_changed": _or("stats.total", 0),
         "html_url": _or("html_url", ""),
     },
-    "pull_requests": lambda: {
+    "pull_requests": lambda _or: {
         "title": _or("title", ""),
         "state": _or("state", ""),
         "author_login": F.col("user.login"),
@@ -96,7 +128,7 @@ _MAPPED = {
         "html_url": _or("html_url", ""),
         "draft": _or("draft", False),
     },
-    "issues": lambda: {
+    "issues": lambda _or: {
         "title": _or("title", ""),
         "state": _or("state", ""),
         "author_login": F.col("user.login"),
@@ -108,21 +140,24 @@ _MAPPED = {
         "milestone": F.col("milestone.title"),
         "html_url": _or("html_url", ""),
     },
-    "contributors": lambda: {
+    "contributors": lambda _or: {
         "contributions": _or("contributions", 0),
         "avatar_url": _or("avatar_url", ""),
         "type": _or("type", "User"),
         "html_url": _or("html_url", ""),
     },
-    "languages": lambda: {"total_bytes": numbers.map_total(F.col("languages"))},
+    "languages": lambda _or: {"total_bytes": numbers.map_total(F.col("languages"))},
 }
 
 
 def normalize(entity: str, raw: DataFrame) -> DataFrame:
-    """Typed payload columns to bronze records; pull requests in the issue feed are left out."""
+    """Typed payload columns to bronze records; pull requests in the issue feed are left out.
+
+    A null gets the default as an absent key does, unless the payloads were parsed with ``exact_nulls``.
+    """
     if entity == "issues":
         raw = drop_pr_issues(raw)
-    mapped = _MAPPED[entity]()
+    mapped = _MAPPED[entity](_or_default_if_absent if NULLS in raw.columns else _or_default)
     return raw.select(
         *[mapped.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in schemas.bronze(entity)]
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from forgemart.functions import times
 from forgemart.functions.numbers import one_place
 from forgemart.operators.keys import touched_dates
-from forgemart.operators.median import grouped_median
+from forgemart.operators.median import grouped_summary
 from forgemart.plans import params
 from forgemart.plans.star import Star
 
@@ -17,13 +17,17 @@ HOURS = "time_to_close_hours"
 
 def issue_stats(star: Star) -> DataFrame:
     """One row: issues by state, mean and median hours to close."""
-    median = grouped_median(star.issues, [], HOURS, "median").scalar()
-    return star.issues.agg(
-        F.count(F.lit(1)).alias("total_issues"),
-        F.count_if(F.col("state") == "open").alias("open_issues"),
-        F.count_if(F.col("state") == "closed").alias("closed_issues"),
-        one_place(F.avg(HOURS)).alias("avg_close_time_hours"),
-    ).select("*", one_place(median).alias("median_close_time_hours"))
+    states = {
+        "total_issues": F.lit(True),
+        "open_issues": F.col("state") == "open",
+        "closed_issues": F.col("state") == "closed",
+    }
+    found = grouped_summary(star.issues, [], HOURS, states, "mean", "median")
+    return found.select(
+        *states,
+        one_place(F.col("mean")).alias("avg_close_time_hours"),
+        one_place(F.col("median")).alias("median_close_time_hours"),
+    )
 
 
 def close_rate(stats: DataFrame) -> DataFrame:

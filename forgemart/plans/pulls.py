@@ -2,53 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgemart.functions import times
 from forgemart.functions.numbers import one_place, percent_of
 from forgemart.operators.keys import touched_dates
-from forgemart.operators.median import grouped_median
+from forgemart.operators.median import grouped_summary
 from forgemart.plans import params
 from forgemart.plans.star import Star
 
 HOURS = "time_to_merge_hours"
 
 
-def _state_counts() -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("total_prs"),
-        F.count_if(F.col("state") == "open").alias("open_prs"),
-        F.count_if("is_merged").alias("merged_prs"),
-        F.count_if((F.col("state") == "closed") & ~F.col("is_merged")).alias("closed_unmerged"),
-        one_place(F.avg(HOURS)).alias("avg_merge_time_hours"),
-    ]
+def _summary(prs: DataFrame, keys: list[str]) -> DataFrame:
+    """Pull requests by state, mean and median hours to merge."""
+    states = {
+        "total_prs": F.lit(True),
+        "open_prs": F.col("state") == "open",
+        "merged_prs": F.col("is_merged"),
+        "closed_unmerged": (F.col("state") == "closed") & ~F.col("is_merged"),
+    }
+    found = grouped_summary(prs, keys, HOURS, states, "mean", "median")
+    return found.select(
+        *keys, *states,
+        one_place(F.col("mean")).alias("avg_merge_time_hours"),
+        one_place(F.col("median")).alias("median_merge_time_hours"),
+    )
 
 
 def pr_metrics(star: Star) -> DataFrame:
     """Per repository: pull requests by state, mean and median hours to merge."""
-    counts = star.prs.groupBy("repository_id").agg(*_state_counts())
-    medians = grouped_median(star.prs, ["repository_id"], HOURS, "median")
     names = star.repo.select("repository_id", F.col("full_name").alias("repository"))
-    return (
-        counts.join(medians, "repository_id", "left")
-        .join(names, "repository_id")
-        .select(
-            "repository", "repository_id", "total_prs", "open_prs", "merged_prs", "closed_unmerged",
-            "avg_merge_time_hours", one_place(F.col("median")).alias("median_merge_time_hours"),
-        )
+    return _summary(star.prs, ["repository_id"]).join(names, "repository_id").select(
+        "repository", "repository_id", "total_prs", "open_prs", "merged_prs", "closed_unmerged",
+        "avg_merge_time_hours", "median_merge_time_hours",
     )
 
 
 def pr_stats(star: Star, repository_id: int | None = None) -> DataFrame:
     """One row for all pull requests or one repository's: counts by state, hours to merge, merge rate."""
-    prs = params.where_equal(star.prs, repository_id=repository_id)
-    median = grouped_median(prs, [], HOURS, "median").scalar()
-    return prs.agg(*_state_counts()).select(
-        "*",
-        one_place(median).alias("median_merge_time_hours"),
-        percent_of(F.col("merged_prs"), F.col("total_prs")).alias("merge_rate_pct"),
-    )
+    found = _summary(params.where_equal(star.prs, repository_id=repository_id), [])
+    return found.withColumn("merge_rate_pct", percent_of(F.col("merged_prs"), F.col("total_prs")))
 
 
 def pr_timeline(
@@ -80,12 +75,12 @@ def merge_time_trend(
         .filter("is_merged")
         .select(times.period_start(period, F.col("merged_at")).alias("date"), HOURS)
     )
-    counts = merged.groupBy("date").agg(
-        one_place(F.avg(HOURS)).alias("avg_hours"), F.count(F.lit(1)).alias("merged_count")
-    )
-    medians = grouped_median(merged, ["date"], HOURS, "median")
-    trend = counts.join(medians, "date", "left").select(
-        "date", "avg_hours", one_place(F.col("median")).alias("median_hours"), "merged_count"
+    found = grouped_summary(merged, ["date"], HOURS, {"merged_count": F.lit(True)}, "mean", "median")
+    trend = found.select(
+        "date",
+        one_place(F.col("mean")).alias("avg_hours"),
+        one_place(F.col("median")).alias("median_hours"),
+        "merged_count",
     )
     return params.last_periods(trend, limit)
 
