@@ -53,7 +53,10 @@ def grouped_summary(
         *[F.coalesce(F.sum(name), zero).alias(name) for name in counts],
         F.try_divide(F.sum(F.col("_value") * F.col("_n")), F.sum("_n")).alias(mean),
     )
-    medians = _median_of_counts(counted.filter("_n > 0").select(*of_group, "_value", "_bucket", "_n"), of_group, median)
+    # A condition that names every count, though only one matters: a branch without some counts would not share the
+    # shuffle.
+    valued = reduce(lambda a, b: a & b, [F.col(name) >= 0 for name in counts], F.col("_n") > 0)
+    medians = _median_of_counts(counted.filter(valued).select(*of_group, "_value", "_bucket", "_n"), of_group, median)
     if not keys:
         return totals.withColumn(median, medians.scalar())
     return totals.join(medians, "_key", "left").select("_key.*", *[c for c in totals.columns if c != "_key"], median)

@@ -34,7 +34,8 @@ def _summary(prs: DataFrame, keys: list[str]) -> DataFrame:
 def pr_metrics(star: Star) -> DataFrame:
     """Per repository: pull requests by state, mean and median hours to merge."""
     names = star.repo.select("repository_id", F.col("full_name").alias("repository"))
-    return _summary(star.prs, ["repository_id"]).join(names, "repository_id").select(
+    placed = star.prs.filter(F.col("repository_id").isNotNull())  # as the join would ask of one branch only
+    return _summary(placed, ["repository_id"]).join(names, "repository_id").select(
         "repository", "repository_id", "total_prs", "open_prs", "merged_prs", "closed_unmerged",
         "avg_merge_time_hours", "median_merge_time_hours",
     )
