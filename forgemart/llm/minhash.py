@@ -9,7 +9,8 @@ Jaccard similarity of their element sets is computed from their whole texts.
 No group is expanded into pairs:
 
 1. Texts with the same elements are one class from the start; only the smallest id goes on.
-2. In every band bucket each text is compared with the smallest id, and verified links are joined to classes.
+2. The smallest id of a band bucket is a partner of the other texts in it. Each text is compared with one partner,
+   verified links are joined to classes, and then with those partners that are still in another class.
 3. In buckets that still hold several classes, blocks of signatures are compared; a text outside the commonest class
    goes on with the texts of other classes that are most like it and that it was not yet compared with. Bands take
    turns in the first rounds, then all take part, with more texts each time. Each round starts from the classes of
@@ -92,11 +93,13 @@ def _sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _likely(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs whose signatures agree enough."""
+    """Pairs whose signatures agree enough, with the number of registers that agree."""
     for frame in frames:
         if len(frame):
             a, b = (np.frombuffer(b"".join(frame[c]), "<u2").reshape(len(frame), REGISTERS) for c in ("ra", "rb"))
-            yield frame.loc[(a == b).mean(axis=1) >= LIKELY, ["a", "b"]]
+            same = (a == b).sum(axis=1)
+            out = frame[["a", "b"]].assign(same=same.astype("int32"))
+            yield out[same >= LIKELY * REGISTERS]
 
 
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -122,7 +125,8 @@ def _nearest(
     same = np.zeros((len(rows), len(right[0])), np.int16)
     for k in range(REGISTERS):
         same += left[2][rows, k, None] == right[2][None, :, k]
-    same[(left[1][rows, None] == right[1]) | done[rows]] = -1
+    small, large = np.minimum(left[4][rows, None], right[4]), np.maximum(left[4][rows, None], right[4])
+    same[(left[1][rows, None] == right[1]) | done[rows] | (small < SIMILARITY * large)] = -1
     most = min(most, len(right[0]))
     best = np.argpartition(same, len(right[0]) - most, axis=1)[:, len(right[0]) - most :]
     likely = np.take_along_axis(same, best, axis=1) >= LIKELY * REGISTERS
@@ -153,6 +157,7 @@ def _across(frames: Iterator[pd.DataFrame], most: int = CLOSEST) -> Iterator[pd.
                     np.array([r["class"] for r in side], np.int64),
                     np.frombuffer(b"".join(r["registers"] for r in side), "<u2").reshape(-1, REGISTERS),
                     [np.asarray(r["checked"], np.int64) for r in side],
+                    np.array([r.get("elements", 1) for r in side], np.int64),
                 )
                 for side in pair
             )
@@ -197,7 +202,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, class_id (its smallest doc_id), links (how many texts it was found alike to).
+    """One row per document: doc_id, class_id (its smallest doc_id), links (the texts it was compared with and
+    found alike to; texts already joined by others are not compared again).
 
     Null and empty texts are alone in a class of their own id. Texts of fewer than five words are alike when they
     have the same words in order. Null doc_ids count as one id, larger than all others and given as null. Repeated
@@ -209,13 +215,14 @@ def classes(docs: DataFrame) -> DataFrame:
     own = signed.select("key", "elements", "low", "high").join(by_content, ["elements", "low", "high"], "left")
     own = own.select("key", F.coalesce("first", "key").alias("first"))
     texts_of = by_content.select(F.col("first").alias("key")).distinct()
-    unique = signed.filter("elements > 0").join(texts_of, "key", "left_semi").select("key", "bands", "registers")
+    unique = signed.filter("elements > 0").join(texts_of, "key", "left_semi")
+    unique = unique.select("key", "elements", "bands", "registers")
     unique = staged(unique.dropDuplicates(["key"]), "unique")
 
     rows = unique.select("key", F.posexplode("bands").alias("band", "bucket"))
     full = rows.groupBy("bucket").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = staged(rows.join(full, "bucket"), "members")
-    registers = unique.select("key", "registers")
+    registers = unique.select("key", "elements", "registers")
     wanted = members.select("key").distinct()
     texts = staged(base.join(wanted, "key").dropDuplicates(["key"]), "texts")
 
@@ -223,12 +230,24 @@ def classes(docs: DataFrame) -> DataFrame:
         left, right = (texts.select(F.col("key").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
         return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInPandas(_verify, "a long, b long")
 
+    # A set of fewer than 0.8 times the elements of another can't be similar enough.
     star = members.filter("key > least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
-    left, right = (registers.select(F.col("key").alias(c), F.col("registers").alias(f"r{c}")) for c in "ab")
-    likely = star.join(right, "b").join(left, "a").mapInPandas(_likely, "a long, b long")
-    checked = staged(likely, "checked")
-    links = staged(verified(checked), "found")
-    found = components(links)
+    left, right = (registers.select(F.col("key").alias(c), F.col("elements").alias(f"e{c}"), F.col("registers").alias(f"r{c}")) for c in "ab")
+    fitting = F.least("ea", "eb") >= SIMILARITY * F.greatest("ea", "eb")
+    pairs = star.join(right, "b").join(left, "a").filter(fitting).select("a", "b", "ra", "rb")
+    checked = staged(pairs.mapInPandas(_likely, "a long, b long, same int"), "checked")
+    # First one partner for each text, the smallest of those that seem similar enough; then the others that are
+    # still in another class. A group of copies is one class after the first step.
+    promising = F.struct(F.col("same") >= SIMILARITY * REGISTERS, -F.col("a"))
+    first = staged(checked.groupBy("b").agg(F.max_by("a", promising).alias("a")).select("a", "b"), "first")
+    links = staged(verified(first), "found")
+    found = staged(components(links), "classes")
+    apart = _apart(checked.select("a", "b"), found).join(first, ["a", "b"], "left_anti")
+    new = staged(verified(staged(apart, "apart")), "found")
+    if not new.isEmpty():
+        links = links.unionByName(new)
+        found = staged(_merged(found, new), "classes")
+    checked = checked.select("a", "b")
     for turn in itertools.count():
         some = members.filter(F.col("band") % TURNS == turn) if turn < TURNS else members
         most = min(CLOSEST * GROWTH ** max(0, turn - TURNS + 1), BLOCK)
@@ -254,6 +273,13 @@ def classes(docs: DataFrame) -> DataFrame:
     )
 
 
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are in different classes."""
+    of = lambda c: found.select(F.col("key").alias(c), F.col("class").alias(f"class_{c}"))
+    both = pairs.join(of("b"), "b", "left").join(of("a"), "a", "left")
+    return both.filter(F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("a", "b")
+
+
 def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
     """The classes (key, class) after ``links`` (a, b) have joined some."""
     of = lambda c: found.select(F.col("key").alias(c), F.col("class").alias(f"class_{c}"))
@@ -275,7 +301,7 @@ def _residual(members: DataFrame, registers: DataFrame, found: DataFrame, checke
     rows = rows.join(past, "key", "left").withColumn("checked", F.coalesce("checked", F.array().cast("array<long>")))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    packed = rows.groupBy("bucket", "blocks", "block").agg(F.collect_list(F.struct("key", "class", "registers", "checked")).alias("left"))
+    packed = rows.groupBy("bucket", "blocks", "block").agg(F.collect_list(F.struct("key", "class", "elements", "registers", "checked")).alias("left"))
     alone = packed.select("left", F.col("left").alias("right"))
     ahead = packed.filter("block + 1 < blocks").withColumn("other", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
     second = packed.filter("blocks > 1").select("bucket", F.col("block").alias("other"), F.col("left").alias("right"))
