@@ -9,8 +9,9 @@ Jaccard similarity of their element sets is computed from their whole texts.
 No group is expanded into pairs:
 
 1. Texts with the same elements are one class from the start; only the smallest id goes on.
-2. The smallest id of a band bucket is a partner of the other texts in it. Each text is compared with one partner,
-   verified links are joined to classes, and then with those partners that are still in another class.
+2. In the first bands the smallest id of a bucket is a partner of the other texts in it, and each text is compared
+   with one partner: a group of copies becomes a class, or a few. In the buckets of all bands the smallest texts of the
+   classes are then compared. A bucket lists classes here, not texts.
 3. In buckets that still hold several classes, blocks of signatures are compared; a text outside the commonest class
    goes on with the texts of other classes that are most like it and that it was not yet compared with. Bands take
    turns in the first rounds, then all take part, with more texts each time. Each round starts from the classes of
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import functools
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -39,17 +40,37 @@ TURNS = 3  # rounds in which every band has its turn; later rounds take all band
 BLOCK = 512  # signatures compared at a time
 CLOSEST = 3  # texts that a text is compared with in one block in the first rounds
 GROWTH = 16  # factor to that number in each later round
+ARRIVALS = 1000  # drawn at a time: about as many as fill all registers
+FIRST_BANDS = 4  # bands that group most copies before the others are looked at
 LAST = 2**63 - 1  # stands for a null id
 
+VOCABULARY = 1 << 20  # words whose hashes a process keeps at hand
+
+_known: dict[bytes, int] = {}
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SIGNATURES = "key long, elements long, low long, high long, bands array<long>, registers binary"
 
 
 def elements(text: str | None) -> np.ndarray:
     """Hashes of the different runs of five lower-case words; a shorter text is one run."""
-    hashes = word_hashes(words(text.lower())) if text else np.zeros(0, np.uint64)
-    runs = gram_hashes(hashes, min(SHINGLE, len(hashes))) if len(hashes) else hashes
-    return np.unique(runs)
+    return next(all_elements([text]))
+
+
+def all_elements(texts: Sequence[str | None]) -> Iterator[np.ndarray]:
+    """The elements of each text; equal words of all texts are hashed once."""
+    tokens = [words(text.lower()) if text else [] for text in texts]
+    new = list(set().union(*tokens).difference(_known))
+    if len(_known) + len(new) > VOCABULARY:
+        _known.clear()
+        new = list(set().union(*tokens))
+    _known.update(zip(new, word_hashes(new).tolist()))
+    every = itertools.chain.from_iterable(tokens)
+    hashes = np.fromiter(map(_known.__getitem__, every), np.uint64, sum(map(len, tokens)))
+    at = 0
+    for found in tokens:
+        own = hashes[at : at + len(found)]
+        at += len(found)
+        yield np.unique(gram_hashes(own, min(SHINGLE, len(own)))) if len(own) else own
 
 
 def signature(items: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -58,18 +79,16 @@ def signature(items: np.ndarray, weights: np.ndarray) -> np.ndarray:
     first = np.zeros(REGISTERS, np.uint64)
     now, arrival = np.zeros(len(items)), 0
     while len(items):
-        rounds = max(1, 600 // len(items))
+        rounds = max(1, -(-ARRIVALS // len(items)))
         steps = np.arange(arrival + 1, arrival + rounds + 1, dtype=np.uint64)[:, None] * _STEP
         draws = mix(items[None, :] + steps)
         gaps = -np.log(((draws >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53) / weights
         at = now + np.cumsum(gaps, axis=0)
         register = (mix(draws + _STEP) % np.uint64(REGISTERS)).astype(np.int64).ravel()
-        order = np.argsort(-at.ravel(), kind="stable")  # the last written is the earliest
-        earliest, owner = np.full(REGISTERS, np.inf), np.zeros(REGISTERS, np.uint64)
-        earliest[register[order]] = at.ravel()[order]
-        owner[register[order]] = np.broadcast_to(items, at.shape).ravel()[order]
-        better = earliest < times
-        times[better], first[better] = earliest[better], owner[better]
+        before, moments = times.copy(), at.ravel()
+        np.minimum.at(times, register, moments)
+        better = np.flatnonzero((moments == times[register]) & (moments < before[register]))
+        first[register[better]] = np.broadcast_to(items, at.shape).ravel()[better]
         on = at[-1] < times.max()
         items, weights, now, arrival = items[on], weights[on], at[-1][on], arrival + rounds
     return first
@@ -79,8 +98,7 @@ def _sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     shift = np.arange(1, BANDS + 1, dtype=np.uint64) * _STEP
     for frame in batches(frames):
         rows = []
-        for key, text in zip(frame["key"], frame["text"]):
-            items = elements(text)
+        for key, items in zip(frame["key"], all_elements(frame["text"].tolist())):
             if not len(items):
                 rows.append((key, 0, 0, 0, [], b""))
                 continue
@@ -219,39 +237,52 @@ def classes(docs: DataFrame) -> DataFrame:
     unique = unique.select("key", "elements", "bands", "registers")
     unique = staged(unique.dropDuplicates(["key"]), "unique")
 
-    rows = unique.select("key", F.posexplode("bands").alias("band", "bucket"))
-    full = rows.groupBy("bucket").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = staged(rows.join(full, "bucket"), "members")
     registers = unique.select("key", "elements", "registers")
-    wanted = members.select("key").distinct()
-    texts = staged(base.join(wanted, "key").dropDuplicates(["key"]), "texts")
+    texts = base.join(unique.select("key"), "key", "left_semi").dropDuplicates(["key"])
 
     def verified(pairs: DataFrame) -> DataFrame:
         left, right = (texts.select(F.col("key").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
         return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInPandas(_verify, "a long, b long")
 
-    # A set of fewer than 0.8 times the elements of another can't be similar enough.
-    star = members.filter("key > least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
-    left, right = (registers.select(F.col("key").alias(c), F.col("elements").alias(f"e{c}"), F.col("registers").alias(f"r{c}")) for c in "ab")
-    fitting = F.least("ea", "eb") >= SIMILARITY * F.greatest("ea", "eb")
-    pairs = star.join(right, "b").join(left, "a").filter(fitting).select("a", "b", "ra", "rb")
-    checked = staged(pairs.mapInPandas(_likely, "a long, b long, same int"), "checked")
-    # First one partner for each text, the smallest of those that seem similar enough; then the others that are
-    # still in another class. A group of copies is one class after the first step.
+    def likely(pairs: DataFrame) -> DataFrame:
+        """Pairs whose signatures agree enough; a set of fewer than 0.8 times another's elements can't be similar."""
+        left, right = (
+            registers.select(F.col("key").alias(c), F.col("elements").alias(f"e{c}"), F.col("registers").alias(f"r{c}"))
+            for c in "ab"
+        )
+        fitting = F.least("ea", "eb") >= SIMILARITY * F.greatest("ea", "eb")
+        both = pairs.join(right, "b").join(left, "a").filter(fitting).select("a", "b", "ra", "rb")
+        return staged(both.mapInPandas(_likely, "a long, b long, same int"), "likely")
+
+    # In the first bands each text gets one partner: the smallest of those that seem similar enough.
+    early = unique.select("key", F.explode(F.slice("bands", 1, FIRST_BANDS)).alias("bucket"))
+    heads = early.groupBy("bucket").agg(F.min("key").alias("a"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    star = likely(early.join(heads, "bucket").filter("key > a").select("a", F.col("key").alias("b")).distinct())
     promising = F.struct(F.col("same") >= SIMILARITY * REGISTERS, -F.col("a"))
-    first = staged(checked.groupBy("b").agg(F.max_by("a", promising).alias("a")).select("a", "b"), "first")
-    links = staged(verified(first), "found")
+    first = star.groupBy("b").agg(F.max_by("a", promising).alias("a"))
+    checked = staged(first.select("a", "b"), "checked")
+    links = staged(verified(checked), "found")
     found = staged(components(links), "classes")
-    apart = _apart(checked.select("a", "b"), found).join(first, ["a", "b"], "left_anti")
-    new = staged(verified(staged(apart, "apart")), "found")
+
+    # Then the smallest texts of the classes that meet in a bucket of any band are compared with the smallest of all.
+    parts = _classes_in_buckets(unique.select("key", F.explode("bands").alias("bucket")), found)
+    least = parts.groupBy("bucket").agg(F.min("key").alias("a"))
+    pairs = parts.join(least, "bucket").filter("key > a").select("a", F.col("key").alias("b")).distinct()
+    more = staged(likely(pairs).select("a", "b").join(checked, ["a", "b"], "left_anti"), "checked")
+    new = staged(verified(more), "found")
+    checked = checked.unionByName(more)
     if not new.isEmpty():
         links = links.unionByName(new)
         found = staged(_merged(found, new), "classes")
-    checked = checked.select("a", "b")
+
+    # What is left are buckets of several classes.
     for turn in itertools.count():
-        some = members.filter(F.col("band") % TURNS == turn) if turn < TURNS else members
         most = min(CLOSEST * GROWTH ** max(0, turn - TURNS + 1), BLOCK)
-        more = staged(_residual(some, registers, found, checked, most), "checked")
+        bands = F.posexplode("bands").alias("band", "bucket")
+        some = unique.select("key", bands)
+        if turn < TURNS:
+            some = some.filter(F.col("band") % TURNS == turn)
+        more = staged(_residual(some.select("key", "bucket"), registers, found, checked, most), "checked")
         if more.isEmpty():
             if turn < TURNS:
                 continue
@@ -261,6 +292,8 @@ def classes(docs: DataFrame) -> DataFrame:
         if not new.isEmpty():
             links = links.unionByName(new)
             found = staged(_merged(found, new), "classes")
+        if turn >= TURNS and most == BLOCK:
+            break  # every likely pair between classes was among them
 
     ends = links.select("a", "b").distinct()
     degree = ends.select(F.explode(F.array("a", "b")).alias("first")).groupBy("first").agg(F.count(F.lit(1)).alias("links"))
@@ -273,11 +306,14 @@ def classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose ends are in different classes."""
-    of = lambda c: found.select(F.col("key").alias(c), F.col("class").alias(f"class_{c}"))
-    both = pairs.join(of("b"), "b", "left").join(of("a"), "a", "left")
-    return both.filter(F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("a", "b")
+def _classes_in_buckets(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(bucket, class, key, size) of the buckets with several classes: the smallest text of each class in it, and how
+    many it has there. Every band row of a text goes in, and one of a class comes out."""
+    rows = rows.join(found, "key", "left").withColumn("class", F.coalesce("class", "key"))
+    parts = rows.groupBy("bucket", "class").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("size"))
+    number = F.count(F.lit(1)).alias("classes")
+    mixed = parts.groupBy("bucket").agg(number).filter("classes > 1").select("bucket")
+    return parts.join(mixed, "bucket", "left_semi")
 
 
 def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
@@ -292,10 +328,9 @@ def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
 
 def _residual(members: DataFrame, registers: DataFrame, found: DataFrame, checked: DataFrame, most: int) -> DataFrame:
     """Likely pairs (a, b) between different classes of one bucket that are not in ``checked``, block by block."""
-    rows = members.select("bucket", "key", "size").join(found, "key", "left")
-    rows = rows.withColumn("class", F.coalesce("class", "key"))
-    mixed = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
-    rows = rows.join(mixed.select("bucket"), "bucket", "left_semi").join(registers, "key")
+    sizes = _classes_in_buckets(members, found).groupBy("bucket").agg(F.sum("size").alias("size"))
+    rows = members.join(staged(sizes, "mixed"), "bucket").join(found, "key", "left")
+    rows = rows.withColumn("class", F.coalesce("class", "key")).join(registers, "key")
     # A pair is kept with its larger key: the smallest of a bucket was compared with all others.
     past = checked.groupBy(F.col("b").alias("key")).agg(F.collect_list("a").alias("checked"))
     rows = rows.join(past, "key", "left").withColumn("checked", F.coalesce("checked", F.array().cast("array<long>")))
