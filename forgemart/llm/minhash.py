@@ -265,7 +265,10 @@ def classes(docs: DataFrame) -> DataFrame:
     checked = checked.select("a", "b")
     for turn in itertools.count():
         some = members.filter(F.col("band") % TURNS == turn) if turn < TURNS else members
-        most = min(CLOSEST * GROWTH ** max(0, turn - TURNS + 1), BLOCK)
+        most = CLOSEST * GROWTH ** max(0, turn - TURNS + 1)
+        last = most > BLOCK
+        if last:
+            most = 2**31  # all there are: hashing makes some blocks larger
         more = staged(_residual(some, registers, found, checked, most), "checked")
         if more.isEmpty():
             if turn < TURNS:
@@ -276,8 +279,8 @@ def classes(docs: DataFrame) -> DataFrame:
         if not new.isEmpty():
             links = links.unionByName(new)
             found = staged(_merged(found, new), "classes")
-        if turn >= TURNS and most == BLOCK:
-            break  # no text had more columns to propose: every likely pair between classes was among these
+        if last:
+            break  # every likely pair between classes has been verified
 
     ends = links.select("a", "b").distinct()
     degree = ends.select(F.explode(F.array("a", "b")).alias("first")).groupBy("first").agg(F.count(F.lit(1)).alias("links"))
