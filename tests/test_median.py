@@ -1,5 +1,7 @@
 """The exact median against numpy, on even, odd, tied, negative and skewed groups."""
 
+import random
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -46,3 +48,29 @@ def test_the_input_is_scanned_once(spark, tmp_path):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan.split("== Initial Plan ==")[0]
+
+
+def test_summary_of_groups_with_null_keys_and_values(spark):
+    import statistics
+
+    from forgemart.operators.median import grouped_summary
+
+    rnd = random.Random(9)
+    rows = [(rnd.choice([None, 1, 2, 3]), rnd.choice([None, rnd.uniform(-50, 900)]), rnd.random() < 0.3) for _ in range(400)]
+    rows += [(7, None, True)]
+    df = spark.createDataFrame(rows, "k int, h double, x boolean")
+    counts = {"n": F.lit(True), "n_x": F.col("x")}
+
+    def expected(part):
+        known = [h for _, h, _ in part if h is not None]
+        middle = (statistics.fmean(known), statistics.median(known)) if known else (None, None)
+        return len(part), sum(x for *_, x in part), *middle
+
+    for r in grouped_summary(df, ["k"], "h", counts, "mean", "median").collect():
+        n, n_x, mean, median = expected([row for row in rows if row[0] == r.k])
+        assert (r.n, r.n_x) == (n, n_x)
+        assert (r["mean"], r["median"]) == (pytest.approx(mean), pytest.approx(median)) if mean is not None else r["median"] is None
+    whole = grouped_summary(df, [], "h", counts, "mean", "median").first()
+    assert (whole.n, whole.n_x) == expected(rows)[:2] and whole["median"] == pytest.approx(expected(rows)[3])
+    empty = grouped_summary(df.limit(0), [], "h", counts, "mean", "median").first()
+    assert tuple(empty) == (0, 0, None, None)
