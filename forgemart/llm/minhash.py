@@ -11,41 +11,43 @@ No group is expanded into pairs:
 1. Texts with the same elements are one class from the start; only the smallest id goes on.
 2. The smallest id of a band bucket is a partner of the other texts in it. Each text is compared with one partner,
    verified links are joined to classes, and then with those partners that are still in another class.
-3. In buckets that still hold several classes, blocks of signatures are compared; a text outside the commonest class
-   goes on with the texts of other classes that are most like it and that it was not yet compared with. Bands take
-   turns in the first rounds, then all take part, with more texts each time. Each round starts from the classes of
-   the one before, and it ends when no bucket has a likely pair between different classes that was not verified.
+3. In a bucket that still holds several classes, the texts outside its commonest class are compared with all texts of
+   the bucket, block by block. A task holds the signatures and elements of two blocks, verifies each pair that is
+   likely by its signatures, between texts still in different classes and first met in this band, and gives out only
+   links that join two classes: fewer than the two blocks have texts. Every likely pair is either verified
+   or lies within a class already, so one pass is enough.
 """
 
 from __future__ import annotations
 
-import functools
 import itertools
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forgemart.llm.common import batches, gram_hashes, mix, staged, word_hashes, words
+from forgemart.llm.common import batches, discard, gram_hashes, mix, staged, word_hashes, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4  # a pair at the threshold is missed with probability (1 - 0.8 ** 4) ** 24, below 1e-5
 REGISTERS = BANDS * ROWS
 LIKELY = 0.55  # share of agreeing registers: six standard deviations below the threshold
-TURNS = 3  # rounds in which every band has its turn; later rounds take all bands
-BLOCK = 512  # signatures compared at a time
-CLOSEST = 3  # texts that a text is compared with in one block in the first rounds
-GROWTH = 16  # factor to that number in each later round
+BLOCK = 1024  # texts of a block, about
+BLOCK_ELEMENTS = 1 << 20  # elements of a block, about; a longer text is a block alone, or nearly
+FEW = 1 << 10  # pairs whose registers are compared at once
+SLICE = 1 << 16  # pairs whose bands are compared at a time
 ARRIVALS = 1000  # drawn at a time: about as many as fill all registers
 LAST = 2**63 - 1  # stands for a null id
 VOCABULARY = 1 << 20  # words whose hashes a process keeps at hand
 
 _known: dict[bytes, int] = {}
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_SIGNATURES = "key long, elements long, low long, high long, bands array<long>, registers binary"
+# Marks are the lower halves of the bands.
+_SIGNATURES = "key long, elements long, low long, high long, bands array<long>, marks binary, registers binary, hashes binary"
 
 
 def elements(text: str | None) -> np.ndarray:
@@ -97,14 +99,16 @@ def _sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for key, items in zip(frame["key"], all_elements(frame["text"].tolist())):
             if not len(items):
-                rows.append((key, 0, 0, 0, [], b""))
+                rows.append((key, 0, 0, 0, [], b"", b"", b""))
                 continue
             first = signature(items, np.ones(len(items)))
             bands = gram_hashes(first, ROWS)[::ROWS]
             bands = mix(bands + shift).astype(np.int64)
             low, high = (np.sum(mix(items + shift[k])).astype(np.int64) for k in (0, 1))
-            rows.append((key, len(items), low, high, bands, (first & np.uint64(0xFFFF)).astype("<u2").tobytes()))
-        yield pd.DataFrame(rows, columns=["key", "elements", "low", "high", "bands", "registers"])
+            registers = (first & np.uint64(0xFFFF)).astype("<u2").tobytes()
+            marks = bands.astype("<u4").tobytes()
+            rows.append((key, len(items), low, high, bands, marks, registers, items.astype("<u8").tobytes()))
+        yield pd.DataFrame(rows, columns=["key", "elements", "low", "high", "bands", "marks", "registers", "hashes"])
 
 
 def _likely(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,75 +124,115 @@ def _likely(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs whose element sets reach the threshold."""
     for frame in frames:
-        kept, seen = [], {}
-        for a, b, left, right in zip(frame["a"], frame["b"], frame["ta"], frame["tb"]):
-            if len(seen) > 256:
-                seen.clear()
-            for key, text in ((a, left), (b, right)):
-                if key not in seen:
-                    seen[key] = elements(text)
-            x, y = seen[a], seen[b]
+        kept = []
+        for left, right in zip(frame["sa"], frame["sb"]):
+            x, y = np.frombuffer(left, "<u8"), np.frombuffer(right, "<u8")
             both = len(np.intersect1d(x, y, assume_unique=True))
             kept.append(both >= SIMILARITY * (len(x) + len(y) - both))
         yield frame.loc[np.array(kept, bool), ["a", "b"]]
 
 
-def _nearest(
-    rows: np.ndarray, left: tuple, right: tuple, done: np.ndarray, most: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (row, column) of the ``most`` likely columns of other classes, not ``done``, for each of ``rows``."""
-    same = np.zeros((len(rows), len(right[0])), np.int16)
-    for k in range(REGISTERS):
-        same += left[2][rows, k, None] == right[2][None, :, k]
-    small, large = np.minimum(left[4][rows, None], right[4]), np.maximum(left[4][rows, None], right[4])
-    same[(left[1][rows, None] == right[1]) | done[rows] | (small < SIMILARITY * large)] = -1
-    most = min(most, len(right[0]))
-    best = np.argpartition(same, len(right[0]) - most, axis=1)[:, len(right[0]) - most :]
-    likely = np.take_along_axis(same, best, axis=1) >= LIKELY * REGISTERS
-    return np.repeat(rows, most)[likely.ravel()], best.ravel()[likely.ravel()]
-
-
-def _done(left: tuple, right: tuple) -> np.ndarray:
-    """Whether a row of ``left`` names a column of ``right`` among the texts it was compared with."""
-    owner = np.repeat(np.arange(len(left[0])), [len(x) for x in left[3]])
-    named = np.concatenate([np.zeros(0, np.int64), *left[3]])
-    order = np.argsort(right[0])
-    at = order[np.minimum(np.searchsorted(right[0][order], named), len(order) - 1)]
-    found = right[0][at] == named
-    done = np.zeros((len(left[0]), len(right[0])), bool)
-    done[owner[found], at[found]] = True
-    return done
-
-
-def _across(frames: Iterator[pd.DataFrame], most: int = CLOSEST) -> Iterator[pd.DataFrame]:
-    """For two blocks of (key, class, registers, checked) of one bucket, likely pairs between classes: each text
-    outside the class that most of them are in with ``most`` of other classes that are most like it, pairs that
-    either side names in ``checked`` left out."""
-    for frame in frames:
-        for pair in zip(frame["left"], frame["right"]):
-            left, right = (
-                (
-                    np.array([r["key"] for r in side], np.int64),
-                    np.array([r["class"] for r in side], np.int64),
-                    np.frombuffer(b"".join(r["registers"] for r in side), "<u2").reshape(-1, REGISTERS),
-                    [np.asarray(r["checked"], np.int64) for r in side],
-                    np.array([r.get("elements", 1) for r in side], np.int64),
-                )
-                for side in pair
-            )
-            names, sizes = np.unique(np.concatenate([left[1], right[1]]), return_counts=True)
-            if len(names) < 2:
-                continue
-            common = names[sizes.argmax()]
-            done = _done(left, right) | _done(right, left).T
-            found = []
-            for x, y, past in ((left, right, done), (right, left, done.T)):
-                rows = np.flatnonzero(x[1] != common)
-                if len(rows):
-                    at, to = _nearest(rows, x, y, past, most)
-                    found += [(x[0][at], y[0][to])]
-            a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many registers agree, for each row of ``x`` and each of ``y``."""
+    if len(x) * len(y) <= FEW:
+        return (x[:, None] == y[None]).sum(axis=2)
+    same = np.zeros((len(x), len(y)), np.uint8)
+    for left, right in zip(x.T.copy(), y.T.copy()):
+        same += left[:, None] == right
+    return same
+
+
+def _met_here(marks: np.ndarray, at: np.ndarray, to: np.ndarray, band: int) -> np.ndarray:
+    """Whether ``band`` is the first in which the texts ``at`` and ``to`` agree."""
+    here = np.zeros(len(at), bool)
+    for k in range(0, len(at), SLICE):
+        some = slice(k, k + SLICE)
+        here[some] = (marks[at[some]] == marks[to[some]]).argmax(axis=1) == band
+    return here
+
+
+def joining_links(
+    band: int, labels: np.ndarray, marks: np.ndarray, registers: np.ndarray, sets: list[np.ndarray], left: np.ndarray
+) -> list[tuple[int, int]]:
+    """Verified links (positions) between texts of different ``labels``, each joining two classes.
+
+    Texts marked ``left`` are compared with the others; if all are marked, with each other. A pair is compared if
+    ``band`` is the first in which it agrees, its signatures make it likely, and its ends are still in different classes.
+    """
+    rows = np.flatnonzero(left)
+    columns = rows if len(rows) == len(left) else np.flatnonzero(~left)
+    sizes = np.array([len(x) for x in sets])
+    same = _agreeing(registers[rows], registers[columns])
+    small, large = (f(sizes[rows, None], sizes[None, columns]) for f in (np.minimum, np.maximum))
+    may = (same >= LIKELY * REGISTERS) & (labels[rows, None] != labels[None, columns]) & (small >= SIMILARITY * large)
+    if columns is rows:
+        may = np.triu(may, 1)
+    at, to = np.nonzero(may)
+    at, to = rows[at], columns[to]
+    here = _met_here(marks, at, to, band)
+    at, to = at[here], to[here]
+    if not len(at):
+        return []
+    # The elements of the texts concerned are numbered, so that a text is a set of positions in one array.
+    concerned = np.union1d(at, to)
+    ends = np.cumsum(sizes[concerned])
+    _, numbers = np.unique(np.concatenate([sets[k] for k in concerned]), return_inverse=True)
+    numbered = dict(zip(concerned.tolist(), np.split(numbers, ends[:-1])))
+    held = np.zeros(numbers.max() + 1, bool)
+    links, labels = [], labels.copy()
+    for row, partners in zip(*_runs(at, to)):
+        partners = partners[labels[partners] != labels[row]]
+        if not len(partners):
+            continue
+        held[numbered[row]] = True
+        starts = np.cumsum(sizes[partners]) - sizes[partners]
+        both = np.add.reduceat(held[np.concatenate([numbered[k] for k in partners.tolist()])], starts, dtype=np.int64)
+        held[numbered[row]] = False
+        alike = partners[both >= SIMILARITY * (sizes[row] + sizes[partners] - both)]
+        for label in np.unique(labels[alike]):
+            links.append((row, int(alike[labels[alike] == label][0])))
+        labels[np.isin(labels, labels[alike])] = labels[row]
+    return links
+
+
+def _runs(at: np.ndarray, to: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """The different values of the sorted ``at`` and for each the values of ``to`` beside it."""
+    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    return at[starts].tolist(), np.split(to, starts[1:])
+
+
+def _whole_jobs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by job, cut so that no job is in two tables, and where its jobs start and end."""
+    rest = None
+    for batch in itertools.chain(batches, [None]):
+        rows = rest if batch is None else pa.Table.from_batches([batch])
+        if rest is not None and batch is not None:
+            rows = pa.concat_tables([rest, rows])
+        if rows is None or not rows.num_rows:
+            continue
+        jobs = np.stack([rows.column(c).to_numpy() for c in ("bucket", "i", "j")])
+        starts = np.flatnonzero(np.r_[True, (jobs[:, 1:] != jobs[:, :-1]).any(axis=0)])
+        end = rows.num_rows if batch is None else int(starts[-1])
+        if end:
+            yield rows.slice(0, end), np.append(starts[starts < end], end)
+        rest = rows.slice(end)
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) that join classes, found in each job (bucket, i, j) of two blocks of texts."""
+    for rows, edges in _whole_jobs(batches):
+        keys, classes, numbers, left = (rows.column(c).to_numpy() for c in ("key", "class", "band", "left"))
+        hashes = rows.column("hashes").to_pylist()
+        marks = np.frombuffer(b"".join(rows.column("marks").to_pylist()), "<u4").reshape(-1, BANDS)
+        registers = np.frombuffer(b"".join(rows.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
+        found = []
+        for start, end in itertools.pairwise(edges.tolist()):
+            own = start + np.argsort(keys[start:end], kind="stable")
+            sets = [np.frombuffer(hashes[k], "<u8") for k in own.tolist()]
+            links = joining_links(int(numbers[start]), classes[own], marks[own], registers[own], sets, left[own])
+            found += [(keys[own[x]], keys[own[y]]) for x, y in links]
+        ends = np.array(found, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))], ["a", "b"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -209,6 +253,7 @@ def components(links: DataFrame) -> DataFrame:
         )
         new = staged(new.filter("a != b").select("a", "b").distinct(), "links")
         changed = new.exceptAll(edges).limit(1).count() + edges.exceptAll(new).limit(1).count()
+        discard(edges)
         edges = new
         if not changed:
             break
@@ -228,22 +273,24 @@ def classes(docs: DataFrame) -> DataFrame:
     signed = staged(base.mapInPandas(_sign, _SIGNATURES), "signatures")
     by_content = signed.filter("elements > 0").groupBy("elements", "low", "high").agg(F.min("key").alias("first"))
     own = signed.select("key", "elements", "low", "high").join(by_content, ["elements", "low", "high"], "left")
-    own = own.select("key", F.coalesce("first", "key").alias("first"))
+    own = staged(own.select("key", F.coalesce("first", "key").alias("first")), "own")
     texts_of = by_content.select(F.col("first").alias("key")).distinct()
     unique = signed.filter("elements > 0").join(texts_of, "key", "left_semi")
-    unique = unique.select("key", "elements", "bands", "registers")
+    unique = unique.select("key", "elements", "low", "high", "bands", "marks", "registers")
     unique = staged(unique.dropDuplicates(["key"]), "unique")
 
     rows = unique.select("key", F.posexplode("bands").alias("band", "bucket"))
     full = rows.groupBy("bucket").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = staged(rows.join(full, "bucket"), "members")
     registers = unique.select("key", "elements", "registers")
-    wanted = members.select("key").distinct()
-    texts = staged(base.join(wanted, "key").dropDuplicates(["key"]), "texts")
+    wanted = unique.join(members.select("key").distinct(), "key", "left_semi").select("key", "low", "high")
+    sets = signed.join(wanted, ["key", "low", "high"], "left_semi").dropDuplicates(["key"]).select("key", "hashes")
+    sets = staged(sets, "sets")
+    discard(signed)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left, right = (texts.select(F.col("key").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
-        return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInPandas(_verify, "a long, b long")
+        left, right = (sets.select(F.col("key").alias(c), F.col("hashes").alias(f"s{c}")) for c in "ab")
+        return pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb").mapInPandas(_verify, "a long, b long")
 
     # A set of fewer than 0.8 times the elements of another can't be similar enough.
     star = members.filter("key > least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
@@ -258,29 +305,14 @@ def classes(docs: DataFrame) -> DataFrame:
     links = staged(verified(first), "found")
     found = staged(components(links), "classes")
     apart = _apart(checked.select("a", "b"), found).join(first, ["a", "b"], "left_anti")
-    new = staged(verified(staged(apart, "apart")), "found")
-    if not new.isEmpty():
-        links = links.unionByName(new)
-        found = staged(_merged(found, new), "classes")
-    checked = checked.select("a", "b")
-    for turn in itertools.count():
-        some = members.filter(F.col("band") % TURNS == turn) if turn < TURNS else members
-        most = CLOSEST * GROWTH ** max(0, turn - TURNS + 1)
-        last = most > BLOCK
-        if last:
-            most = 2**31  # all there are: hashing makes some blocks larger
-        more = staged(_residual(some, registers, found, checked, most), "checked")
-        if more.isEmpty():
-            if turn < TURNS:
-                continue
-            break
-        new = staged(verified(more), "found")
-        checked = checked.unionByName(more)
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            found = staged(_merged(found, new), "classes")
-        if last:
-            break  # every likely pair between classes has been verified
+    new = staged(verified(apart), "found")
+    discard(checked, first)
+    links = links.unionByName(new)
+    found = staged(_merged(found, new), "classes")
+    new = staged(_between_classes(members, unique, sets, found), "found")
+    discard(members, unique, sets)
+    links = links.unionByName(new)
+    found = staged(_merged(found, new), "classes")
 
     ends = links.select("a", "b").distinct()
     degree = ends.select(F.explode(F.array("a", "b")).alias("first")).groupBy("first").agg(F.count(F.lit(1)).alias("links"))
@@ -310,26 +342,53 @@ def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
     return moved.unionByName(joined.select(F.col("class").alias("key"), F.col("root").alias("class"))).distinct()
 
 
-def _residual(members: DataFrame, registers: DataFrame, found: DataFrame, checked: DataFrame, most: int) -> DataFrame:
-    """Likely pairs (a, b) between different classes of one bucket that are not in ``checked``, block by block."""
-    rows = members.select("bucket", "key", "size").join(found, "key", "left")
-    rows = rows.withColumn("class", F.coalesce("class", "key"))
-    mixed = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
-    rows = rows.join(mixed.select("bucket"), "bucket", "left_semi").join(registers, "key")
-    # A pair is kept with its larger key: the smallest of a bucket was compared with all others.
-    past = checked.groupBy(F.col("b").alias("key")).agg(F.collect_list("a").alias("checked"))
-    rows = rows.join(past, "key", "left").withColumn("checked", F.coalesce("checked", F.array().cast("array<long>")))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    packed = rows.groupBy("bucket", "blocks", "block").agg(F.collect_list(F.struct("key", "class", "elements", "registers", "checked")).alias("left"))
-    alone = packed.select("left", F.col("left").alias("right"))
-    ahead = packed.filter("block + 1 < blocks").withColumn("other", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
-    second = packed.filter("blocks > 1").select("bucket", F.col("block").alias("other"), F.col("left").alias("right"))
-    pairs = alone.unionByName(ahead.join(second, ["bucket", "other"]).select("left", "right"))
-    # The blocks are small in bytes and heavy in work: spread them whatever their size.
+def _blocks(texts: str, elements: str) -> Column:
+    """How many blocks so many texts with so many elements in all make."""
+    return F.greatest(F.ceil(F.col(texts) / BLOCK), F.ceil(F.col(elements) / BLOCK_ELEMENTS)).cast("int")
+
+
+def _between_classes(members: DataFrame, unique: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
+    """Verified links (a, b) between the classes of one bucket, enough to join all classes that have one.
+
+    The texts of a bucket outside its commonest class make blocks 0 to m - 1, those of that class blocks from m on.
+    Job (bucket, i, j) compares block i, one of the first m, with block j, not less than i.
+    """
+    rows = members.select("bucket", "band", "key").join(found, "key", "left").withColumn("class", F.coalesce("class", "key"))
+    rows = rows.join(unique.select("key", "elements"), "key")
+    of_class = rows.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("texts"), F.sum("elements").alias("elements"))
+    most = F.max(F.struct("texts", (-F.col("class")).alias("minus"), "elements")).alias("most")
+    mixed = of_class.groupBy("bucket").agg(F.sum("texts").alias("texts"), F.sum("elements").alias("elements"), most)
+    mixed = mixed.filter("texts > most.texts").select(
+        "bucket",
+        (-F.col("most.minus")).alias("common"),
+        F.col("most.texts").alias("inner_texts"),
+        F.col("most.elements").alias("inner_elements"),
+        (F.col("texts") - F.col("most.texts")).alias("outer_texts"),
+        (F.col("elements") - F.col("most.elements")).alias("outer_elements"),
+    )
+    mixed = mixed.select(
+        "bucket",
+        "common",
+        _blocks("outer_texts", "outer_elements").alias("outer"),
+        _blocks("inner_texts", "inner_elements").alias("inner"),
+    )
+    rows = rows.join(mixed, "bucket").withColumn("outside", F.col("class") != F.col("common"))
+    at = F.pmod(F.xxhash64("key"), F.when(F.col("outside"), F.col("outer")).otherwise(F.col("inner"))).cast("int")
+    rows = rows.withColumn("at", F.when(F.col("outside"), at).otherwise(F.col("outer") + at))
+    job = lambda i, j, left: F.struct(i.alias("i"), j.alias("j"), left.alias("left"))
+    as_left = F.transform(F.sequence("at", F.col("outer") + F.col("inner") - 1), lambda j: job(F.col("at"), j, F.lit(True)))
+    before = F.least("at", "outer")
+    as_right = F.when(
+        before > 0, F.transform(F.sequence(F.lit(0), before - 1), lambda i: job(i, F.col("at"), F.lit(False)))
+    )
+    none = F.array().cast("array<struct<i:int,j:int,left:boolean>>")
+    jobs = F.concat(F.when(F.col("outside"), as_left).otherwise(none), F.coalesce(as_right, none))
+    rows = rows.select("bucket", "band", "key", "class", F.inline(jobs))
+    payload = unique.select("key", "marks", "registers").join(sets, "key")
+    # The blocks are small in bytes and heavy in work: as many tasks as a shuffle has, whatever their size.
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = pairs.repartition(tasks, F.rand(7))
-    return spread.mapInPandas(functools.partial(_across, most=most), "a long, b long").distinct()
+    spread = rows.join(payload, "key").repartition(tasks, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return spread.mapInArrow(_compared, "a long, b long")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:

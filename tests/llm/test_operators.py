@@ -389,25 +389,63 @@ def test_words_with_a_nul_are_told_apart():
     assert len(set(word_hashes([b"a\0", b"a", b"a\0b", b"\0"]).tolist())) == 4
 
 
-def test_look_alikes_take_no_place_from_a_near_copy():
-    """Texts that failed verification leave their places to the next ones, until none is left."""
-    import pandas as pd
-
-    base = np.arange(minhash.REGISTERS, dtype="<u2")
-    block = [{"key": 100, "class": 100, "registers": base.tobytes()}]
-    for k in range(1, 21):
-        other = base.copy()
-        other[: 10 + k] += 1000 * k  # ever less like the first
-        block.append({"key": k, "class": k, "registers": other.tobytes()})
-    seen, rounds = set(), 0
-    while True:
-        side = [r | {"checked": [a for a, b in seen if b == r["key"]]} for r in block]
-        new = {p for f in minhash._across(iter([pd.DataFrame({"left": [side], "right": [side]})])) for p in zip(f["a"], f["b"])}
-        assert not new & seen
-        if not new:
-            break
-        seen, rounds = seen | new, rounds + 1
-    assert {(k, 100) for k in range(1, 21)} <= seen and rounds > 1
+def _look_alikes(n):
+    """Texts of 120 words with one to three changed: many pairs lie just under the threshold."""
+    rnd = random.Random(n)
+    for i in range(n):
+        w = [f"w{k}" for k in range(120)]
+        for _ in range(rnd.randrange(1, 4)):
+            w[rnd.randrange(120)] = f"x{rnd.random()}"
+        yield i, " ".join(w)
+
+
+def _classes_by_all_pairs(sets):
+    label = np.arange(len(sets))
+    for a, x in enumerate(sets):
+        for b in range(a + 1, len(sets)):
+            if label[a] != label[b]:
+                both = len(x & sets[b])
+                if both >= 0.8 * (len(x) + len(sets[b]) - both):
+                    label[label == max(label[a], label[b])] = min(label[a], label[b])
+    return label.tolist()
+
+
+def test_look_alikes_take_no_place_from_a_near_copy(spark):
+    """Texts that fail verification keep no other pair from being compared."""
+    rows = list(_look_alikes(300))
+    got = {r["doc_id"]: r["class_id"] for r in minhash.classes(documents(spark, [(i, t, "s") for i, t in rows])).collect()}
+    want = _classes_by_all_pairs([set(minhash.elements(t).tolist()) for _, t in rows])
+    assert got == dict(enumerate(want)) and 1 < len(set(want)) < 300
+    clear_staged(spark)
+
+
+@pytest.mark.parametrize("n", [300, 600, 1200])
+def test_links_of_look_alikes_stay_fewer_than_texts(n):
+    """All likely pairs of a block are compared, and one link is given for each two classes that join."""
+    sets = [minhash.elements(t) for _, t in _look_alikes(n)]
+    firsts = [minhash.signature(x, np.ones(len(x))) for x in sets]
+    registers = np.array([f & np.uint64(0xFFFF) for f in firsts]).astype("<u2")
+    same_band = np.zeros((n, minhash.BANDS), "<u4")  # all meet in the first band
+    links = minhash.joining_links(0, np.arange(n), same_band, registers, sets, np.ones(n, bool))
+    want = _classes_by_all_pairs([set(x.tolist()) for x in sets])
+    assert len(links) == n - len(set(want))
+    label = np.arange(n)
+    for a, b in links:
+        label[label == max(label[a], label[b])] = min(label[a], label[b])
+    assert label.tolist() == want
+
+
+def test_blocks_of_two_sides_and_later_bands():
+    sets = [minhash.elements(t) for _, t in _look_alikes(40)]
+    sets[1::2] = sets[::2]  # copies on the other side
+    registers = np.array([minhash.signature(x, np.ones(len(x))) & np.uint64(0xFFFF) for x in sets]).astype("<u2")
+    marks = np.arange(40 * minhash.BANDS, dtype="<u4").reshape(40, -1)
+    marks[:, 5] = 0  # first met in band 5
+    left = np.arange(40) % 2 == 0
+    links = minhash.joining_links(5, np.arange(40), marks, registers, sets, left)
+    assert all(left[a] and not left[b] for a, b in links) and len(links) >= 20
+    assert minhash.joining_links(6, np.arange(40), marks, registers, sets, left) == []
+    assert minhash.joining_links(5, np.zeros(40, int), marks, registers, sets, left) == []
 
 
 def test_repeated_lines_do_not_hide_a_near_copy(spark):
