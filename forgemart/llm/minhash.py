@@ -47,7 +47,7 @@ VOCABULARY = 1 << 20  # words whose hashes a process keeps at hand
 _known: dict[bytes, int] = {}
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 # Marks are the lower halves of the bands.
-_SIGNATURES = "key long, elements long, low long, high long, bands array<long>, marks binary, registers binary, hashes binary"
+_SIGNATURES = "key long, elements long, low long, high long, bands array<long>, marks binary, registers binary"
 
 
 def elements(text: str | None) -> np.ndarray:
@@ -93,22 +93,38 @@ def signature(items: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return first
 
 
+def _content(items: np.ndarray) -> tuple[int, int]:
+    """Two numbers that name a set of elements."""
+    return tuple(int(np.sum(mix(items + k * _STEP)).astype(np.int64)) for k in (np.uint64(1), np.uint64(2)))
+
+
 def _sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     shift = np.arange(1, BANDS + 1, dtype=np.uint64) * _STEP
     for frame in batches(frames):
         rows = []
         for key, items in zip(frame["key"], all_elements(frame["text"].tolist())):
             if not len(items):
-                rows.append((key, 0, 0, 0, [], b"", b"", b""))
+                rows.append((key, 0, 0, 0, [], b"", b""))
                 continue
             first = signature(items, np.ones(len(items)))
             bands = gram_hashes(first, ROWS)[::ROWS]
             bands = mix(bands + shift).astype(np.int64)
-            low, high = (np.sum(mix(items + shift[k])).astype(np.int64) for k in (0, 1))
+            low, high = _content(items)
             registers = (first & np.uint64(0xFFFF)).astype("<u2").tobytes()
             marks = bands.astype("<u4").tobytes()
-            rows.append((key, len(items), low, high, bands, marks, registers, items.astype("<u8").tobytes()))
-        yield pd.DataFrame(rows, columns=["key", "elements", "low", "high", "bands", "marks", "registers", "hashes"])
+            rows.append((key, len(items), low, high, bands, marks, registers))
+        yield pd.DataFrame(rows, columns=["key", "elements", "low", "high", "bands", "marks", "registers"])
+
+
+def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The elements of each text that has the wanted content: a repeated id may have others."""
+    for frame in batches(frames):
+        rows = []
+        wanted = zip(frame["key"], frame["low"], frame["high"])
+        for (key, low, high), items in zip(wanted, all_elements(frame["text"].tolist())):
+            if len(items) and _content(items) == (low, high):
+                rows.append((key, items.astype("<u8").tobytes()))
+        yield pd.DataFrame(rows, columns=["key", "hashes"])
 
 
 def _likely(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -284,8 +300,8 @@ def classes(docs: DataFrame) -> DataFrame:
     members = staged(rows.join(full, "bucket"), "members")
     registers = unique.select("key", "elements", "registers")
     wanted = unique.join(members.select("key").distinct(), "key", "left_semi").select("key", "low", "high")
-    sets = signed.join(wanted, ["key", "low", "high"], "left_semi").dropDuplicates(["key"]).select("key", "hashes")
-    sets = staged(sets, "sets")
+    texts = base.join(wanted, "key").dropDuplicates(["key", "text"])
+    sets = staged(texts.mapInPandas(_sets, "key long, hashes binary"), "sets")
     discard(signed)
 
     def verified(pairs: DataFrame) -> DataFrame:
