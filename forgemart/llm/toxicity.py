@@ -4,7 +4,9 @@ A lexicon maps words to symbols: insult, threat, target, negation, reported spee
 learnt from labelled rows. Small transducers rewrite the symbols of a clause in turn: the threat transducer keeps a
 threat only near a target, the target transducer marks what is aimed at somebody, negation and reported speech mark
 what is denied or quoted. They are composed into one machine when a task starts. A document's score is the logistic
-of the log odds of toxic labels plus the weights of its matched clauses. Texts are searched for lexicon stems by one
+of the log odds of toxic labels plus the weights of its matched clauses. A text whose clauses weigh less than one plain
+insult is lowered by what that says of the label, counted on the rows learnt from: so texts without a match are clean
+however many of the labelled rows are toxic. Texts are searched for lexicon stems by one
 automaton; only clauses with a match go through the grammar.
 """
 
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgemart.llm.common import labelled_sample, mix, part_of, word_hashes
+from forgemart.llm.common import discard, labelled_sample, mix, part_of, staged, word_hashes
 
 TOXIC_ROWS, CLEAN_ROWS = 1500, 6000  # labelled rows that the lexicon is learnt from, at most
 STEM_LENGTHS = (4, 5, 6, 7)
@@ -117,8 +119,8 @@ def clause_weight(tokens: list[tuple[str, float]], machine: Machine) -> float:
 class Scorer:
     """Scores texts with a lexicon of whole words (``"word"``) and stems (``"stem*"``)."""
 
-    def __init__(self, lexicon: dict[str, float], prior: float):
-        self.prior, self.machine = prior, grammar()
+    def __init__(self, lexicon: dict[str, float], prior: float, absence: float = 0.0):
+        self.prior, self.absence, self.machine = prior, absence, grammar()
         self.whole = {k: w for k, w in lexicon.items() if not k.endswith("*")}
         self.stems = {k[:-1]: w for k, w in lexicon.items() if k.endswith("*")}
         self.lengths = sorted({len(k) for k in self.stems})
@@ -137,8 +139,13 @@ class Scorer:
 
     def log_odds(self, text: str | None) -> tuple[float, int]:
         """Log odds of toxic and the number of clauses that matched."""
+        weight, matched = self.weigh(text)
+        return self.prior + weight + self.absence * max(0.0, 1 - weight / LEAST_WEIGHT), matched
+
+    def weigh(self, text: str | None) -> tuple[float, int]:
+        """The weight of the clauses that matched and their number."""
         lowered = (text or "").lower()
-        total, matched, done = self.prior, 0, -1
+        total, matched, done = 0.0, 0, -1
         for last, length in self.search.iter(lowered):
             first = last - length + 1
             if first <= done or first and (lowered[first - 1].isalnum()):
@@ -186,8 +193,22 @@ def _evidence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out.astype({"context": "Int64"})
 
 
-def learn(docs: DataFrame, labels: DataFrame, keep) -> tuple[dict[str, float], float]:
-    """A lexicon of at most ``LEXICON_SIZE`` entries with weights, and the log odds of the toxic label.
+def _light(texts: DataFrame, lexicon: dict[str, float]) -> dict[int, int]:
+    """How many of the labelled ``texts`` of either label weigh less than one plain insult."""
+    grams = texts.sparkSession.sparkContext.broadcast(lexicon)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(grams.value, 0.0)
+        for frame in frames:
+            light = [scorer.weigh(t)[0] < LEAST_WEIGHT for t in frame["text"]]
+            yield frame.loc[np.array(light, bool), ["label"]]
+
+    return {r["label"]: r["count"] for r in texts.mapInPandas(run, "label int").groupBy("label").count().collect()}
+
+
+def learn(docs: DataFrame, labels: DataFrame, keep) -> tuple[dict[str, float], float, float]:
+    """A lexicon of at most ``LEXICON_SIZE`` entries with weights, the log odds of the toxic label, and what a text
+    without a match adds to them (zero or less).
 
     Reads labels where ``keep`` holds: at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` rows, chosen by a hash. Copies
     of one toxic text don't make its words insults: an entry needs different neighbours. Without labelled rows of
@@ -198,6 +219,7 @@ def learn(docs: DataFrame, labels: DataFrame, keep) -> tuple[dict[str, float], f
     sample = toxic.unionByName(clean).groupBy("doc_id").agg(F.min("label").alias("label"))
     total = labels.filter(keep & F.col("toxic").isin(0, 1)).agg(F.sum("toxic"), F.count(F.lit(1))).first()
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "label")
+    texts = staged(texts, "labelled")
     found = texts.mapInPandas(_evidence, "feature string, toxic long, clean long, context long")
     # Contexts are counted apart from the sums, each once: the first grouping holds one row per context.
     each = found.groupBy("feature", "context").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -206,7 +228,7 @@ def learn(docs: DataFrame, labels: DataFrame, keep) -> tuple[dict[str, float], f
     )
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
-        return {}, math.log(0.1 / 0.9)
+        return {}, math.log(0.1 / 0.9), 0.0
     weight = F.log((F.col("toxic") + 0.5) / (sizes[1] + 1.0)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1.0))
     rows = (
         counts.filter((F.col("contexts") >= LEAST_CONTEXTS) & (F.col("toxic") >= LEAST_ROWS))
@@ -217,7 +239,11 @@ def learn(docs: DataFrame, labels: DataFrame, keep) -> tuple[dict[str, float], f
         .collect()
     )
     share = (total[0] + 1) / (total[1] + 2)
-    return {r["feature"]: r["weight"] for r in _useful(rows)}, math.log(share / (1 - share))
+    lexicon = {r["feature"]: r["weight"] for r in _useful(rows)}
+    light = _light(texts, lexicon)
+    discard(texts)
+    absence = math.log((light.get(1, 0) + 0.5) / (sizes[1] + 1)) - math.log((light.get(0, 0) + 0.5) / (sizes[0] + 1))
+    return lexicon, math.log(share / (1 - share)), min(0.0, absence)
 
 
 def _useful(rows: list) -> list:
@@ -238,8 +264,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts have no match. Repeated rows are scored alike; a null doc_id is held out of learning and
     gets held_out false. Other columns are not read.
     """
-    lexicon, prior = learn(docs, labels, part_of("doc_id", 5) != 0)
-    grams = docs.sparkSession.sparkContext.broadcast((lexicon, prior))
+    grams = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, part_of("doc_id", 5) != 0))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(*grams.value)

@@ -352,6 +352,26 @@ def test_toxicity_on_held_out_rows(spark):
     assert clean.schema == docs.schema and {r["doc_id"] for r in clean.collect()} == {k for k, r in got.items() if not r["predicted"]}
 
 
+def test_balanced_labels_leave_clean_texts(spark):
+    """Half of the labelled rows are toxic; a repeated id with another text and a text of 200,000 words do no harm."""
+    rnd = random.Random(10)
+    vocabulary = ["w%d" % k for k in range(300)]
+    rows = []
+    for k in range(400):
+        w = [rnd.choice(vocabulary) for _ in range(30)]
+        if k % 2:
+            for _ in range(3):
+                w[rnd.randrange(30)] = "dreck" + rnd.choice(["en", "ig", "er", "haft", "lich"])
+        rows.append((k, " ".join(w) + ".", "s"))
+    rows += [(500, None, "s"), (501, "w1 not dreckig", "s"), (502, " ".join(vocabulary * 700), "s"), (0, "w3 w4", "s")]
+    docs, labels = documents(spark, rows), _labels(spark, [(k, 1, k % 2) for k in range(400)])
+    got = [(r["doc_id"], r["predicted"]) for r in toxicity.score(docs, labels).collect()]
+    assert sorted(got) == sorted((k, k % 2 if k < 400 else 0) for k, _, _ in rows)
+    kept = sorted(r["doc_id"] for r in toxicity.keep_clean(docs, docs, labels).collect())
+    assert kept == sorted(k for k, p in got if not p)
+    clear_staged(spark)
+
+
 def test_grammar_marks():
     machine = toxicity.grammar()
     weight = lambda *symbols: toxicity.clause_weight([(s, 4.0 if s == "insult" else 0.0) for s in symbols], machine)
