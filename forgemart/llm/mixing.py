@@ -145,11 +145,14 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_cha
 
 
 def placed(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The documents, all columns, and the columns of ``ORDER``: sorted by these and doc_id they are mixed."""
-    order = schedule(docs, weights, block_chars).select(F.col("doc_id").alias("__id"), "slot", "place").distinct()
-    first = order.groupBy("__id").agg(F.min(F.struct("slot", "place")).alias("__at"))
-    joined = docs.join(first, docs["doc_id"].eqNullSafe(first["__id"]))
-    return joined.select(*[docs[c] for c in docs.columns], *[F.col(f"__at.{c[6:]}").alias(c) for c in ORDER])
+    """The documents, all columns, and the columns of ``ORDER``: sorted by these and doc_id they are mixed. Columns of
+    ``docs`` that have these names already are replaced."""
+    docs = docs.drop(*ORDER)
+    at = "at" + "_" * max(map(len, docs.columns))  # longer than any other name
+    order = schedule(docs, weights, block_chars).select(F.col("doc_id").alias(f"{at}id"), "slot", "place").distinct()
+    first = order.groupBy(f"{at}id").agg(F.min(F.struct("slot", "place")).alias(at))
+    joined = docs.join(first, docs["doc_id"].eqNullSafe(first[f"{at}id"]))
+    return joined.select(*[docs[c] for c in docs.columns], *[first[at][c[6:]].alias(c) for c in ORDER])
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:

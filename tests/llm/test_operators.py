@@ -481,6 +481,15 @@ def test_repeated_lines_do_not_hide_a_near_copy(spark):
     clear_staged(spark)
 
 
+def test_mixing_replaces_its_own_columns_and_keeps_others(spark):
+    docs = documents(spark, [(k, "text " * k, "ab"[k % 2]) for k in range(20)])
+    more = docs.withColumns({c: F.lit("old") for c in (*mixing.ORDER, "__at", "__id", "slot", "place")})
+    plain, got = mixing.placed(docs), mixing.placed(more)
+    assert got.columns == [c for c in more.columns if c not in mixing.ORDER] + [*mixing.ORDER]
+    assert sorted(got.select("doc_id", *mixing.ORDER).collect()) == sorted(plain.select("doc_id", *mixing.ORDER).collect())
+    assert {r["__at"] for r in got.collect()} == {"old"}
+
+
 def test_schedule_follows_the_weights_over_many_periods():
     rnd = random.Random(13)
     for count in (20, 300):
