@@ -179,11 +179,17 @@ def _from_partials(query):
     return run
 
 
+def _fanned_out(star):
+    """The sums as BIGINT, as the SQL has them; one beyond BIGINT, where the SQL's own cast fails, is null."""
+    overview = repositories.repository_overview(star, compat_fanout=True)
+    return overview.withColumns({c: F.col(c).try_cast("bigint") for c in repositories.FANNED_OUT})
+
+
 CASES = {
     # Views
     "V1_repository_overview": (_on(repositories.repository_overview), sql(_OVER, _OVERVIEW)),
     "V1_repository_overview_fanout": (
-        _on(lambda s: repositories.repository_overview(s, compat_fanout=True)),
+        _on(_fanned_out),
         sql(_OVER, f"""
             SELECT * REPLACE (
                 CAST(total_additions * greatest(total_prs, 1) * greatest(total_issues, 1) AS BIGINT) AS total_additions,

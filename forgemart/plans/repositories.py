@@ -14,6 +14,7 @@ _SHOWN = [
     "repository_id", "full_name", "owner", "name", "description", "language", "stars_count", "forks_count",
     "is_fork", "created_at", "html_url",
 ]
+FANNED_OUT = ("total_additions", "total_deletions")
 _COUNTS = ["total_commits", "total_prs", "total_issues", "total_additions", "total_deletions"]
 
 
@@ -21,14 +22,15 @@ def repository_overview(star: Star, compat_fanout: bool = False) -> DataFrame:
     """Per repository its attributes, number of commits, pull requests and issues, and lines changed.
 
     Each fact is reduced to one row per repository before the join. ``compat_fanout`` gives the line sums of a
-    plain three-way join, where every commit repeats once per pull request and issue.
+    plain three-way join, where every commit repeats once per pull request and issue; they outgrow BIGINT and are
+    DECIMAL(38, 0).
     """
     filled = _overview(star.repo, star.commits, star.prs, star.issues)
     if not compat_fanout:
         return filled
     one = F.lit(1).cast("bigint")
-    copies = F.greatest("total_prs", one) * F.greatest("total_issues", one)
-    return filled.withColumns({c: F.col(c) * copies for c in ("total_additions", "total_deletions")})
+    prs, issues = (F.greatest(c, one).cast("decimal(38,0)") for c in ("total_prs", "total_issues"))
+    return filled.withColumns({c: F.col(c).cast("decimal(38,0)") * prs * issues for c in FANNED_OUT})
 
 
 def _overview(repo: DataFrame, commits: DataFrame, prs: DataFrame, issues: DataFrame) -> DataFrame:

@@ -1,11 +1,13 @@
 """The analytic queries on hand-made rows: edges, orders, parameters."""
 
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from forgemart.bindings import AS_OF, bind
+from forgemart.checks import marts
 from forgemart.plans import commits, dashboard, issues, pulls, repositories
 from stars import small_star
 
@@ -38,6 +40,18 @@ def test_compatible_sums_equal_the_plain_join(star):
     assert rows(ours, "repository_id", "total_additions", "total_deletions") == rows(plain)
 
 
+def test_compatible_sums_beyond_bigint(star):
+    big = 2**60
+    many = replace(star, commits=star.commits.withColumn("additions", F.lit(big)), issues=star.issues.crossJoin(
+        star.issues.sparkSession.range(50).select(F.col("id").alias("copy"))))
+    n = {r.repository_id: r for r in repositories.repository_overview(many).collect()}
+    found = {r.repository_id: r.total_additions for r in repositories.repository_overview(many, compat_fanout=True).collect()}
+    expected = {k: r.total_commits * big * max(r.total_prs, 1) * max(r.total_issues, 1) for k, r in n.items()}
+    assert found == expected and max(expected.values()) > 2**63
+    shown = {r.repository_id: r.total_additions for r in marts._fanned_out(many).collect()}
+    assert shown == {k: v if v < 2**63 else None for k, v in expected.items()}
+
+
 @pytest.mark.parametrize("sort_by,order,expected", [
     ("stars_count", "desc", [2, 1, 0]),  # an unknown count sorts as the largest
     ("stars_count", "asc", [0, 1, 2]),
