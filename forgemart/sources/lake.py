@@ -18,6 +18,8 @@ from forgemart.sources import versions
 from forgemart.sources.files import RowCount, Staged, counted_rows, delete, path_exists, staged, write_table
 
 LANDED = ("year", "month", "day")
+# Bronze files are compressed and then read by one task each: their records are bounded.
+RECORDS_PER_FILE = 100_000
 
 
 @dataclass(frozen=True)
@@ -68,7 +70,7 @@ def read_bronze(
 
 
 def write_bronze(df: DataFrame, paths: LakePaths, entity: str, landed: date, mode: str = "append") -> RowCount:
-    """Land records as JSON lines below ``year=/month=/day=``."""
+    """Land records as compressed JSON lines below ``year=/month=/day=``."""
     stamped = df.withColumns(
         {
             "year": F.lit(f"{landed:%Y}"),
@@ -78,6 +80,8 @@ def write_bronze(df: DataFrame, paths: LakePaths, entity: str, landed: date, mod
     )
     counted, seen = counted_rows(stamped, f"bronze_{entity}")
     writer = counted.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    writer = writer.option("maxRecordsPerFile", RECORDS_PER_FILE)
     writer.partitionBy(*LANDED).option("ignoreNullFields", False).json(paths.bronze(entity))
     return seen
 

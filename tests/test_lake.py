@@ -136,3 +136,13 @@ def test_jdbc_options():
     assert jdbc.write_options("jdbc:x", "t", {"driver": "d"}, connections=3)["numPartitions"] == "3"
     with pytest.raises(ValueError):
         jdbc.read_options("jdbc:x", "t", {}, ("id", 5, 1, 4))
+
+
+def test_bronze_is_compressed_in_files_of_bounded_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lake, "RECORDS_PER_FILE", 10)
+    paths = lake.LakePaths(str(tmp_path))
+    records = spark.createDataFrame([contributor(i) for i in range(95)], "id long, login string, repository_full_name string")
+    assert lake.write_bronze(records.coalesce(1), paths, "contributors", date(2024, 1, 1)).get["rows"] == 95
+    files = sorted(p.name for p in (tmp_path / "bronze" / "contributors").rglob("part-*"))
+    assert len(files) == 10 and all(name.endswith(".json.gz") for name in files)
+    assert sorted(r.id for r in lake.read_bronze(spark, paths, "contributors").collect()) == list(range(95))
