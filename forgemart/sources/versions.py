@@ -141,6 +141,7 @@ def prepare_merge(
     stored = None if number is None else read(spark, path, new.schema, number)
     if stored is None:
         return _draft(spark, path, incoming, parts, (number or 0) + 1)[0]
+    incoming = staged(spark, incoming, "incoming").frame  # read several times below
     live = manifest(spark, path, number)
     if set(live.columns) != {*parts, LABEL, ROWS}:
         raise ValueError(f"{path} is not partitioned by {', '.join(parts) or 'nothing'}")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forgemart import bindings, schemas
+from forgemart.checks import loads
 from forgemart.checks.loads import _silver_layers
 from forgemart.operators import keys
 from forgemart.plans import star
@@ -125,3 +126,10 @@ def test_hot_and_missing_logins_are_split(spark):
     finally:
         for key, value in old.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_check_loads_read_stored_silver_tables(spark, sf_dir):
+    made, stored = bindings.silver_tables(spark, sf_dir), loads.stored_silver(spark, sf_dir)
+    assert {e: df.schema.simpleString() for e, df in stored.items()} == {e: df.schema.simpleString() for e, df in made.items()}
+    assert not any(sf_dir in name for df in stored.values() for name in df.inputFiles())
+    assert {e: df.count() for e, df in stored.items()} == {e: df.count() for e, df in made.items()}

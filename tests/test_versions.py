@@ -150,3 +150,13 @@ def test_a_plain_table_becomes_the_first_version(spark, tmp_path):
     lake.merge_table(spark, path, rows(spark, (1, "x", 2, 1)), ["id"], PARTS)
     assert found(lake.read_table(spark, path)) == [(1, "x", 1), (2, "b", 2)]
     assert versions.current(spark, path) == 2
+
+
+def test_a_merge_makes_the_incoming_rows_once(spark, tmp_path, monkeypatch):
+    path, made, stage = str(tmp_path / "t"), [], versions.staged
+    versions.replace(spark, path, rows(spark, (1, "a", 1, 1), (2, "b", 1, 1)), PARTS)
+    monkeypatch.setattr(versions, "staged", lambda s, df, name: made.append((name, df.columns)) or stage(s, df, name))
+    draft = versions.prepare_merge(spark, path, rows(spark, (2, "x", 2, 1), (2, "w", 1, 1), (3, "c", 1, 2)), ["id"], PARTS, [F.desc("at")])
+    assert [name for name, _ in made] == ["incoming", "touched"]
+    versions.publish(spark, draft)
+    assert found(versions.read(spark, path)) == [(1, "a", 1), (2, "x", 1), (3, "c", 2)]
