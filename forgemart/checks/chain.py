@@ -12,6 +12,7 @@ from forgemart import bindings, jobs, schemas
 from forgemart.bindings import AS_OF
 from forgemart.checks import base, marts
 from forgemart.checks.base import flat, sql
+from forgemart.checks.loads import stored_silver
 from forgemart.plans import commits, pulls, repositories
 from forgemart.plans.star import Star
 from forgemart.session import scratch_path
@@ -130,7 +131,7 @@ def _run_log(spark, d):
 
 def _refused(spark, d):
     """Rows that break constraints of each kind, as a load sets them aside with all reasons."""
-    tables = bindings.silver_tables(spark, d)
+    tables = stored_silver(spark, d)
     user, key = F.col("github_user_id"), F.col("github_pr_id")
     tables["contributors"] = tables["contributors"].withColumns({
         "login": F.when(user % 90 == 7, None).when(user % 70 == 5, F.rpad("login", 101, "x")).otherwise(F.col("login")),
