@@ -16,6 +16,7 @@ from forgemart.plans import bronze, silver
 from forgemart.plans.star import Star
 from forgemart.session import configure
 from forgemart.sources import gold, lake, versions
+from forgemart.sources.files import counted_rows
 
 
 class Run:
@@ -80,12 +81,17 @@ def ingest(
                 continue
             try:
                 parsed = bronze.parse_payloads(payloads[entity].select("payload"), entity)
-                good, bad = bronze.split_corrupt(parsed)
-                records = bronze.normalize(entity, good)
+                # The unreadable are counted while the others land; texts are parsed again only to keep those apart.
+                unreadable = F.count_if(F.col("_corrupt_record").isNotNull())
+                counted, seen = counted_rows(parsed, f"unreadable_{entity}", unreadable)
+                records = bronze.normalize(entity, bronze.split_corrupt(counted)[0])
                 if entity == "commits" and commits_since is not None:
                     records = bronze.since_filter(records, "author_date", commits_since)
-                rejected = _kept_apart(bad.select("_corrupt_record"), paths.bronze(f"rejected_{entity}"), run, entity)
-                run.counts[entity] = lake.write_bronze(records, paths, entity, landed).get["rows"]
+                landing = lake.write_bronze(records, paths, entity, landed)
+                bad = bronze.split_corrupt(parsed)[1].select("_corrupt_record")
+                bad = bad if seen.get["rows"] else bad.limit(0)
+                rejected = _kept_apart(bad, paths.bronze(f"rejected_{entity}"), run, entity)
+                run.counts[entity] = landing.get["rows"]
             except PySparkException as error:
                 run.counts[entity] = 0
                 run.errors.append(f"{entity}: {error.getCondition() or type(error).__name__}")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgemart.session import scratch_path
@@ -98,7 +98,7 @@ class RowCount:
             return {"rows": 0}
 
 
-def counted_rows(df: DataFrame, name: str) -> tuple[DataFrame, RowCount]:
-    """Count rows while they pass; read ``get['rows']`` after the action."""
+def counted_rows(df: DataFrame, name: str, count: Column | None = None) -> tuple[DataFrame, RowCount]:
+    """Count rows while they pass, by default all; read ``get['rows']`` after the action."""
     seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), RowCount(seen)
+    return df.observe(seen, (F.count(F.lit(1)) if count is None else count).alias("rows")), RowCount(seen)

@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from forgemart import schemas
+from forgemart import jobs, schemas
 from forgemart.jobs import bronze_to_silver, ingest, silver_to_gold
 from forgemart.plans import commits, repositories, star
 from forgemart.session import RUNTIME_CONF, configure, scratch_path
@@ -243,3 +243,25 @@ def test_ingested_commits_start_at_a_moment(spark, tmp_path):
     texts = [json.dumps({"sha": f"s{d}", "commit": {"author": {"date": f"2024-01-0{d}T00:00:00Z"}}}) for d in (1, 2, 3)]
     payloads = {"commits": spark.createDataFrame([(t,) for t in texts], "payload string")}
     assert ingest(spark, paths, payloads, date(2024, 2, 1), commits_since=F.lit("2024-01-02T00:00:00Z")) == {"commits": 2}
+
+
+def test_only_unreadable_payloads_are_parsed_twice(spark, tmp_path, monkeypatch):
+    lakes, kept = lake.LakePaths(str(tmp_path / "lake")), {}
+    apart = jobs._kept_apart
+
+    def seen(bad, path, run, name):
+        kept[name] = "from_json" in bad._jdf.queryExecution().optimizedPlan().toString()
+        return apart(bad, path, run, name)
+
+    monkeypatch.setattr(jobs, "_kept_apart", seen)
+    texts = {
+        "contributors": ['{"id": 1, "login": "ann", "repository_full_name": "a/b"}', "{nope"],
+        "languages": ['{"repository_full_name": "a/b", "languages": {"Go": 1}}'],
+    }
+    payloads = {e: spark.createDataFrame([(t,) for t in lines], "payload string") for e, lines in texts.items()}
+    assert ingest(spark, lakes, payloads, date(2024, 1, 1), "r") == {"contributors": 1, "languages": 1}
+    assert kept == {"contributors": True, "languages": False}
+    assert [r.value for r in spark.read.text(lakes.bronze("rejected_contributors")).select("value").collect()] == ['{"_corrupt_record":"{nope"}']
+    assert spark.read.schema("value string").json(f"{lakes.bronze('rejected_languages')}/run=r").count() == 0
+    log = spark.read.parquet(lakes.run_log()).first()
+    assert (log.status, log.errors) == ("completed_with_errors", ["contributors: 1 unreadable payloads"])
