@@ -42,7 +42,8 @@ FEW = 1 << 10  # pairs whose registers are compared at once
 SLICE = 1 << 16  # pairs whose bands are compared at a time
 ARRIVALS = 1000  # drawn at a time: about as many as fill all registers
 LAST = 2**63 - 1  # stands for a null id
-VOCABULARY = 1 << 20  # words whose hashes a process keeps at hand
+VOCABULARY = 1 << 17  # words whose hashes a process keeps at hand
+TEXTS = 1 << 20  # characters of the texts whose words a process holds at once, or one text
 
 _known: dict[bytes, int] = {}
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -100,7 +101,7 @@ def _content(items: np.ndarray) -> tuple[int, int]:
 
 def _sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     shift = np.arange(1, BANDS + 1, dtype=np.uint64) * _STEP
-    for frame in batches(frames):
+    for frame in batches(frames, TEXTS):
         rows = []
         for key, items in zip(frame["key"], all_elements(frame["text"].tolist())):
             if not len(items):
@@ -118,7 +119,7 @@ def _sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The elements of each text that has the wanted content: a repeated id may have others."""
-    for frame in batches(frames):
+    for frame in batches(frames, TEXTS):
         rows = []
         wanted = zip(frame["key"], frame["low"], frame["high"])
         for (key, low, high), items in zip(wanted, all_elements(frame["text"].tolist())):

@@ -16,22 +16,16 @@ import heapq
 import itertools
 import math
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BLOCK_CHARS = 65536
 PERIOD = 1024  # blocks of a source in one row of the plan
 MISSING = "\u0000missing"
 ORDER = ("mixed_slot", "mixed_place")  # columns of the mixed order
 
-_PLAN = T.StructType(
-    [
-        T.StructField("__source", T.StringType()),
-        T.StructField("part", T.LongType()),
-        T.StructField("slots", T.ArrayType(T.LongType())),
-    ]
-)
+_PLAN = pa.schema([("__source", pa.string()), ("part", pa.int64()), ("slots", pa.list_(pa.int64()))])
 
 
 def exact_shares(weights: dict[str, float]) -> dict[str, int]:
@@ -92,6 +86,17 @@ def phases(blocks: dict[str, int], weights: dict[str, float]) -> dict[str, list[
     return out
 
 
+def _as_table(spark: SparkSession, plan: dict[str, list[tuple[int, int, int, list[int]]]]) -> DataFrame:
+    """The slots of each source's blocks, ``PERIOD`` to a row. Sent as Arrow: rows of Python would be unpickled on the
+    executors, by a second set of Python workers that stays beside those of the other operators."""
+    rows = []
+    for s, p in plan.items():
+        at = [begin + x for _, _, begin, slots in p for x in slots]
+        rows += [(s, k // PERIOD, at[k : k + PERIOD]) for k in range(0, len(at), PERIOD)]
+    columns = zip(*rows) if rows else [()] * len(_PLAN)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, _PLAN.types)], schema=_PLAN))
+
+
 def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document: doc_id, source, source_block, slot, place.
 
@@ -119,11 +124,7 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_cha
         if any(w <= 0 for w in weights.values()):
             raise ValueError("weights must be positive")
         target = {s: float(weights.get(s, min(weights.values()))) for s in sizes}
-    plan = []
-    for s, p in phases(blocks, target).items():
-        at = [begin + x for _, _, begin, slots in p for x in slots]
-        plan += [(s, k // PERIOD, at[k : k + PERIOD]) for k in range(0, len(at), PERIOD)]
-    table = docs.sparkSession.createDataFrame(plan, _PLAN)
+    table = _as_table(docs.sparkSession, phases(blocks, target))
 
     # About as many buckets as rows in a bucket: both grow with the root of the corpus.
     bits = max(1, math.ceil(math.log2(math.sqrt(number + 1)) + 1))

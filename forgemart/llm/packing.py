@@ -18,7 +18,7 @@ import unicodedata
 import zlib
 from collections import deque
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pandas as pd
@@ -39,7 +39,7 @@ FREE_PENALTY = 24  # ids of padding that a cut inside a sentence is worth
 GRID = 256  # largest distance between possible cuts
 SHORT_PENALTY = 12  # ids of padding that one more short sequence is worth
 APART = 24  # least distance between possible cuts inside a document
-CACHED_WORDS = 1_200_000  # words whose ids a worker keeps
+CACHED_WORDS, KEPT_WORDS = 300_000, 150_000  # words whose ids a worker keeps, and the first of these when it has more
 _PUNCTUATION = b"!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"  # ASCII but for the apostrophe and angle brackets
 # Bytes that are printable in Latin-1 stand for themselves, the others for characters from U+0100 on, in turn.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -71,13 +71,16 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
         self.codes: dict[bytes, int] = {}
         self.flat = np.zeros(0, np.int32)
         self.starts = np.zeros(1, np.int64)
 
+    def forget(self) -> None:
+        """Keep the words learnt first, which are most of the frequent ones."""
+        self.codes = dict(islice(self.codes.items(), KEPT_WORDS))
+        self.starts = self.starts[: len(self.codes) + 1].copy()
+        self.flat = self.flat[: self.starts[-1]].copy()
+
     def _learn(self, missing: list[bytes]) -> None:
         """Encode new words. Letters followed by punctuation are two pieces, each learnt once."""
         whole, pairs = dict.fromkeys(missing), {}

@@ -12,6 +12,7 @@ automaton; only clauses with a match go through the grammar.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter, defaultdict
@@ -24,13 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgemart.llm.common import discard, labelled_sample, mix, part_of, staged, word_hashes
+from forgemart.llm.common import batches, discard, labelled_sample, mix, part_of, staged, word_hashes
 
 TOXIC_ROWS, CLEAN_ROWS = 1500, 6000  # labelled rows that the lexicon is learnt from, at most
 STEM_LENGTHS = (4, 5, 6, 7)
 LEXICON_SIZE = 2000  # learnt entries, at most
 LEAST_CONTEXTS, LEAST_ROWS = 8, 4  # different neighbours and toxic rows that an entry must have
 LEAST_WEIGHT = 3.0  # log odds
+SLICE = 1 << 14  # rows that a worker gives out at a time when it learns
+ROWS = 512  # documents of which a worker gives out the clean ones at once
 NEAR = 4  # words that a target or a negation reaches
 FACTORS = {"target": 1.25, "negation": 0.25, "reported": 0.4}
 THREAT_WEIGHT = 5.0
@@ -171,8 +174,9 @@ def _features(text: str) -> Iterator[tuple[str, tuple[str, str]]]:
 
 
 def _evidence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per feature: rows of either label, and a context number for each different neighbourhood in toxic rows."""
-    for frame in frames:
+    """Per feature: rows of either label, and a context number for each different neighbourhood in toxic rows. A worker
+    holds the counts of one batch of texts, and of the rows made from them one slice."""
+    for frame in batches(frames):
         toxic, clean, contexts = Counter(), Counter(), defaultdict(set)
         for text, label in zip(frame["text"], frame["label"]):
             if not text:
@@ -185,12 +189,17 @@ def _evidence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 toxic.update(seen)
             else:
                 clean.update({feature for feature, _ in _features(text)})
-        pairs = [(f, " ".join(c)) for f, cs in contexts.items() for c in cs]
-        numbers = mix(word_hashes([c.encode() for _, c in pairs])).astype(np.int64)
-        rows = [(f, 0, 0, int(h)) for (f, _), h in zip(pairs, numbers)]
-        rows += [(f, toxic[f], clean[f], None) for f in {*toxic, *clean}]
-        out = pd.DataFrame(rows, columns=["feature", "toxic", "clean", "context"])
-        yield out.astype({"context": "Int64"})
+        pairs = ((f, " ".join(c).encode()) for f, cs in contexts.items() for c in cs)
+        for some in itertools.batched(pairs, SLICE):
+            numbers = mix(word_hashes([c for _, c in some])).astype(np.int64)
+            yield _found([f for f, _ in some], 0, 0, pd.array(numbers, "Int64"))
+        every = itertools.chain(toxic, (f for f in clean if f not in toxic))
+        for some in itertools.batched(every, SLICE):
+            yield _found(some, [toxic[f] for f in some], [clean[f] for f in some], pd.array([None] * len(some), "Int64"))
+
+
+def _found(features, toxic, clean, context) -> pd.DataFrame:
+    return pd.DataFrame({"feature": features, "toxic": toxic, "clean": clean, "context": context})
 
 
 def _light(texts: DataFrame, lexicon: dict[str, float]) -> dict[int, int]:
@@ -286,14 +295,20 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", held_out).mapInPandas(run, SCHEMA)
 
 
+def _clean(frames: Iterator[pa.RecordBatch], scorer: Scorer) -> Iterator[pa.RecordBatch]:
+    """The rows that are not toxic, of ``ROWS`` rows at a time: a worker holds the text of one of them beside its input."""
+    for frame in frames:
+        for start in range(0, frame.num_rows, ROWS):
+            rows = frame.slice(start, ROWS)
+            texts = rows.column(rows.schema.get_field_index("text"))
+            yield rows.filter(pa.array([scorer.log_odds(t.as_py())[0] < 0 for t in texts], pa.bool_()))
+
+
 def keep_clean(docs: DataFrame, known: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that a lexicon learnt on ``known`` with ``labels`` does not call toxic."""
     lexicon = docs.sparkSession.sparkContext.broadcast(learn(known, labels, part_of("doc_id", 5) != 0))
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(*lexicon.value)
-        for batch in frames:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([scorer.log_odds(t)[0] < 0 for t in texts], pa.bool_()))
+        return _clean(frames, Scorer(*lexicon.value))
 
     return docs.mapInArrow(run, docs.schema)

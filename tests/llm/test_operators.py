@@ -9,7 +9,9 @@ from collections import Counter, defaultdict
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -525,3 +527,75 @@ def test_sequences_follow_the_mixed_order_whatever_the_files(spark, sf_dir, tmp_
     at = {r["doc_id"]: (r["slot"], r["place"], r["doc_id"]) for r in mixing.schedule(documents(spark, rows)).collect()}
     order = list(dict.fromkeys(r["doc_id"] for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"]))))
     assert order == sorted(at, key=at.get)
+
+
+def test_the_plan_of_a_mixed_order_needs_no_python_workers(spark):
+    docs = spark.range(50).selectExpr("id doc_id", "repeat('x', 9) text", "concat('s', id % 3) source")
+    plan = mixing.placed(docs, block_chars=16)._jdf.queryExecution().toString()
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+
+
+def test_evidence_is_given_out_in_slices():
+    rnd = random.Random(15)
+    vocabulary = [f"{rnd.randrange(10**8):08}x" for _ in range(6000)]
+    texts = [" ".join(rnd.sample(vocabulary, 3000)) for _ in range(4)] + [None, ""]
+    frame = pd.DataFrame({"text": texts, "label": [1, 0, 1, 0, 1, 0]})
+    found = list(toxicity._evidence(iter([frame, frame])))
+    assert 4 < len(found) and max(map(len, found)) <= 1 << 14
+    rows = pd.concat(found)
+    sums = rows.groupby("feature")[["toxic", "clean"]].sum()
+    contexts = rows.dropna().groupby("feature")["context"].nunique().to_dict()
+    around, expected = defaultdict(set), {0: Counter(), 1: Counter()}
+    for text, label in zip(texts[:4], frame["label"]):
+        features = list(toxicity._features(text))
+        expected[label].update({f for f, _ in features})
+        if label:
+            for f, c in features:
+                around[f].add(c)
+    assert contexts == {f: len(c) for f, c in around.items()}
+    assert sums["toxic"].to_dict() == {f: 2 * expected[1][f] for f in sums.index}
+    assert sums["clean"].to_dict() == {f: 2 * expected[0][f] for f in sums.index}
+    assert set(sums.index) == {*expected[0], *expected[1]}
+
+
+def test_clean_rows_are_given_out_a_few_at_a_time():
+    scorer = toxicity.Scorer({"dreck*": 9.0}, -2.0)
+    texts = [None if k % 7 == 0 else "you are dreckig" if k % 3 == 0 else f"w{k}" for k in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2000)), "text": texts})
+    found = list(toxicity._clean(iter([batch, batch.slice(0, 0)]), scorer))
+    assert max(b.num_rows for b in found) <= 512
+    kept = [k for b in found for k in b.column(0).to_pylist()]
+    assert kept == [k for k in range(2000) if k % 3 or k % 7 == 0]
+
+
+@pytest.mark.parametrize("step", ["_sign", "_sets"])
+def test_words_of_a_few_texts_are_held_at_once(monkeypatch, step):
+    held = []
+
+    def elements(texts):
+        held.append(sum(len(t or "") for t in texts))
+        return iter([np.zeros(0, np.uint64)] * len(texts))
+
+    monkeypatch.setattr(minhash, "all_elements", elements)
+    frame = pd.DataFrame({"key": range(4001), "text": ["x" * 1000] * 4000 + [None], "low": 0, "high": 0})
+    rows = pd.concat(getattr(minhash, step)(iter([frame])))
+    assert sum(held) == 4_000_000 and max(held) < 1_100_000
+    assert len(rows) == (4001 if step == "_sign" else 0)
+
+
+def test_a_full_encoder_keeps_the_words_learnt_first(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 120)
+    monkeypatch.setattr(packing, "KEPT_WORDS", 40, raising=False)
+    path = public_tokenizers.path(packing.TOKENIZER)
+    coder, plain, rnd = packing.Encoder(path), Tokenizer.from_file(path), random.Random(16)
+    common = ["the", "été,", "don't", "3.14", "Straße!"]
+    sizes = []
+    for k in range(12):
+        texts = [" ".join(common + [f"n{rnd.randrange(10**6)}{c}" for c in ".,x!"]) for _ in range(20)] + [None, ""]
+        got = coder.encode(texts)
+        assert [x.tolist() for x in got] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+        sizes.append(len(coder.codes))
+        coder.forget()
+        assert len(coder.codes) == 40 and b"the" in coder.codes and len(coder.starts) == 41
+        assert len(coder.flat) == coder.starts[-1]
+    assert min(sizes) > 40
