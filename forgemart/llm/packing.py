@@ -39,7 +39,7 @@ FREE_PENALTY = 24  # ids of padding that a cut inside a sentence is worth
 GRID = 256  # largest distance between possible cuts
 SHORT_PENALTY = 12  # ids of padding that one more short sequence is worth
 APART = 24  # least distance between possible cuts inside a document
-CACHED_WORDS, KEPT_WORDS = 300_000, 150_000  # words whose ids a worker keeps, and the first of these when it has more
+CACHED_WORDS, KEPT_WORDS = 600_000, 350_000  # words whose ids a worker keeps, and the first of these when it has more
 _PUNCTUATION = b"!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"  # ASCII but for the apostrophe and angle brackets
 # Bytes that are printable in Latin-1 stand for themselves, the others for characters from U+0100 on, in turn.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
