@@ -34,6 +34,12 @@ def latest_by_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) ->
     return _first_rows(df, key, [*order, *tie_break(df, key)], 1)
 
 
+def repeats_a_key(df: DataFrame, key: Sequence[str]) -> bool:
+    """Whether rows may share a key: false means that none do. Only a hash of the key is grouped."""
+    hashes = df.groupBy(F.xxhash64(*key).alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+    return not hashes.filter(F.col("_n") > 1).isEmpty()
+
+
 def cap_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of every key by ``order`` and then by every other column."""
     if n < 1:

@@ -72,13 +72,18 @@ def write_table(
 class Staged:
     frame: DataFrame
     rows: int
+    path: str
+
+    def drop(self) -> None:
+        """Delete what was stored; the frame can't be read any more."""
+        delete(self.frame.sparkSession, self.path)
 
 
 def staged(spark: SparkSession, df: DataFrame, name: str) -> Staged:
     """Store a frame in the scratch folder, for several passes over it that do not compute it again."""
     path = scratch_path(spark, name)
     rows = write_table(df, path).get["rows"]
-    return Staged(spark.read.schema(df.schema).parquet(path), rows)
+    return Staged(spark.read.schema(df.schema).parquet(path), rows, path)
 
 
 class RowCount:

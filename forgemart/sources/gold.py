@@ -83,6 +83,7 @@ def load_star(
             bad = bad.unionByName(nameless.withColumn("reasons", reason), allowMissingColumns=True)
         rejected[name] = write_table(bad, of_load(f"rejected_{name}")).get["rows"]
         loaded[name] = rows.rows
+        rows.drop()
         return _stored(spark, name, of_load(name))
 
     sources = [build.contributor_users(silver["contributors"]), build.author_users(silver["commits"])]
@@ -131,6 +132,7 @@ def load_star(
         ).first()
         if days[0] is not None:
             start, end = min(start, days[0]), max(end, days[1])
+        rows.drop()
 
     before = None if previous is None else _stored(spark, "dim_date", of_load("dim_date", previous))
     if before is not None and previous == load_id:

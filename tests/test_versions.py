@@ -160,3 +160,34 @@ def test_a_merge_makes_the_incoming_rows_once(spark, tmp_path, monkeypatch):
     assert [name for name, _ in made] == ["incoming", "touched"]
     versions.publish(spark, draft)
     assert found(versions.read(spark, path)) == [(1, "a", 1), (2, "x", 1), (3, "c", 2)]
+
+
+def test_new_keys_are_added_beside_a_month_and_changes_give_it_whole(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    versions.replace(spark, path, rows(spark, (1, "a", 1, 1), (2, "b", 1, 1), (3, "c", 1, 2)), PARTS)
+    read, stored = [], versions._rows
+    monkeypatch.setattr(versions, "_rows", lambda *args: read.append(args[4:]) or stored(*args))
+    versions.merge(spark, path, rows(spark, (4, "d", 1, 1)), ["id"], PARTS)
+    assert read == [(True,)]  # the keys are searched, no stored row is read to be written again
+    monkeypatch.undo()
+    live = sorted((r.month, r.version[:11], r.n_rows) for r in versions.manifest(spark, path).collect())
+    assert live == [(1, "v0000000001", 2), (1, "v0000000002", 1), (2, "v0000000001", 1)]
+    assert found(versions.read(spark, path)) == [(1, "a", 1), (2, "b", 1), (3, "c", 2), (4, "d", 1)]
+    assert found(versions.changes(spark, path, 1)) == [(1, "a", 1), (2, "b", 1), (4, "d", 1)]
+    versions.merge(spark, path, rows(spark, (1, "x", 2, 2), (2, "y", 2, 1)), ["id"], PARTS)  # all of a folder, one row moves
+    assert found(versions.read(spark, path)) == [(1, "x", 2), (2, "y", 1), (3, "c", 2), (4, "d", 1)]
+    assert found(versions.read(spark, path, number=2)) == [(1, "a", 1), (2, "b", 1), (3, "c", 2), (4, "d", 1)]
+
+
+@pytest.mark.parametrize("latest_wins", [False, True])
+def test_folders_of_a_month_stay_few(spark, tmp_path, monkeypatch, latest_wins):
+    monkeypatch.setattr(versions, "FOLDERS", 2)
+    path = str(tmp_path / "t")
+    for k in range(5):
+        delta = rows(spark, (k, f"v{k}", 1, 1), (None, f"n{k}", k, 1))
+        versions.merge(spark, path, delta, ["id"], PARTS, [F.desc("at")], latest_wins=latest_wins)
+        assert versions.manifest(spark, path).count() <= 3
+    last = sorted((-1 if r.id is None else r.id, r.v) for r in versions.read(spark, path).collect())
+    assert last == [(-1, "n4"), *[(k, f"v{k}") for k in range(5)]]
+    whole = versions.read(spark, path)
+    assert whole.agg(F.sum("at")).first()[0] == 5 + 4 and versions.manifest(spark, path).agg(F.sum("n_rows")).first()[0] == 6
