@@ -156,3 +156,13 @@ def test_open_windows_are_stored_and_sessions_closed(spark, tmp_path):
     feeds.append_to(sessions, str(tmp_path / "out"), str(tmp_path / "ends")).awaitTermination()
     rows = spark.read.parquet(str(tmp_path / "out")).orderBy("u").collect()
     assert [(r.u, r.n_rows) for r in rows] == [("x", 3), ("y", 1)]
+
+
+def test_a_streamed_merge_writes_few_files(spark, tmp_path):
+    table, days = str(tmp_path / "table"), tmp_path / "bronze/pull_requests/year=2024/month=01/day=01"
+    months = [f"2019-{m:02d}-01T00:00:00Z" for m in (5, 6)]
+    drop(days, "1.json", [pull(i, "open", "2024-01-01T00:00:00Z", months[i % 2]) for i in range(200)])
+    stream = feeds.read_bronze_stream(spark, LakePaths(str(tmp_path)), "pull_requests")
+    feeds.merge_records(feeds.stream_versions(stream, "pull_requests", "1 second"), "pull_requests", table, str(tmp_path / "check")).awaitTermination()
+    assert feeds.merged_records(spark, table, "pull_requests").count() == 200
+    assert len(list((tmp_path / "table/data").rglob("*.parquet"))) == 2  # one a month, not one a task and month
