@@ -107,6 +107,13 @@ def _kept_apart(bad: DataFrame, path: str, run: Run, name: str) -> int:
     return seen.get["rows"]
 
 
+def _unreadable(paths: lake.LakePaths, run: Run, entity: str, bad: DataFrame) -> int:
+    rejected = _kept_apart(bad, paths.silver(f"rejected_{entity}"), run, entity)
+    if rejected:
+        run.errors.append(f"{entity}: {rejected} unreadable records")
+    return rejected
+
+
 def bronze_to_silver(
     spark: SparkSession,
     paths: lake.LakePaths,
@@ -125,27 +132,40 @@ def bronze_to_silver(
     """
     merge = incremental or since is not None
     with _logged(spark, paths, run_id) as run:
-        readable = {}
+        landed = {}
         for entity in schemas.ENTITIES:
             records = lake.read_bronze(spark, paths, entity, since, multi_line)
             if records is None:
                 continue
-            good, bad = bronze.split_corrupt(records)
-            rejected = _kept_apart(bad, paths.silver(f"rejected_{entity}"), run, entity)
-            if rejected:
-                run.errors.append(f"{entity}: {rejected} unreadable records")
-            if not good.take(1):
+            landed[entity] = records
+            if not bronze.split_corrupt(records)[0].take(1):
+                for name, texts in landed.items():
+                    _unreadable(paths, run, name, bronze.split_corrupt(texts)[1])
                 raise ValueError(f"no readable record of {entity}: files of whole documents need multi_line=True")
-            readable[entity] = good
-        for entity, good in readable.items():
-            cleaned = silver.clean(entity, good)
+        for entity, records in landed.items():
             parts, path = silver.partition_columns(entity), paths.silver(entity)
+
+            def written(good: DataFrame) -> lake.Staged | versions.Draft:
+                cleaned = silver.clean(entity, good)
+                return lake.staged(spark, cleaned, entity) if merge else versions.prepare_replace(spark, path, cleaned, parts)
+
+            # The unreadable are counted while the others are cleaned; texts are parsed again only if there are any. A
+            # record is unreadable by any of its fields, so the count asks for all.
+            whole = F.length(F.to_json(F.struct(*records.columns))) >= 0
+            unreadable = F.count_if(F.col("_corrupt_record").isNotNull() & whole)
+            counted, seen = lake.counted_rows(records, f"unreadable_{entity}", unreadable)
+            table = written(bronze.split_corrupt(counted)[0])
+            good, bad = bronze.split_corrupt(records)
+            # Of a table without rows the counter may be lost.
+            if _unreadable(paths, run, entity, bad if seen.get["rows"] or not table.rows else bad.limit(0)):
+                table.drop() if merge else versions.discard(spark, table)
+                table = written(good)  # records with faults only in fields that silver doesn't read are in it
             if merge:
-                staged = lake.staged(spark, cleaned, entity)
-                lake.merge_table(spark, path, staged.frame, schemas.KEYS[entity], parts)
-                run.counts[entity] = staged.rows
+                lake.merge_table(spark, path, table.frame, schemas.KEYS[entity], parts)
+                table.drop()
             else:
-                run.counts[entity] = versions.replace(spark, path, cleaned, parts)
+                versions.publish(spark, table)
+            run.counts[entity] = table.rows
     return run.counts
 
 

@@ -265,3 +265,32 @@ def test_only_unreadable_payloads_are_parsed_twice(spark, tmp_path, monkeypatch)
     assert spark.read.schema("value string").json(f"{lakes.bronze('rejected_languages')}/run=r").count() == 0
     log = spark.read.parquet(lakes.run_log()).first()
     assert (log.status, log.errors) == ("completed_with_errors", ["contributors: 1 unreadable payloads"])
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_landed_records_are_parsed_once_unless_some_are_unreadable(spark, tmp_path, monkeypatch, incremental):
+    lakes, kept = lake.LakePaths(str(tmp_path)), {}
+    apart = jobs._kept_apart
+
+    def seen(bad, path, run, name):
+        kept[name] = "json" in bad._jdf.queryExecution().executedPlan().toString().lower()
+        return apart(bad, path, run, name)
+
+    monkeypatch.setattr(jobs, "_kept_apart", seen)
+    lines = {
+        "repositories": [repository(1, "a/b"), repository(2, "a/odd", topics={"no": "list"})],  # silver doesn't read topics
+        "commits": [commit("s1", "ann", when="")],  # undated
+        "contributors": [{"id": 7, "login": "ann", "repository_full_name": "a/b"}],
+        "languages": [{"repository_full_name": "a/b", "languages": {"Go": 3}, "total_bytes": 3}],
+    }
+    for entity, records in lines.items():
+        broken = ["{nope"] if entity in ("commits", "contributors") else []
+        land(tmp_path, entity, 1, "a", "\n".join([*map(json.dumps, records), *broken]))
+    counts = bronze_to_silver(spark, lakes, incremental=incremental, run_id="r")
+    assert counts == {"repositories": 2, "commits": 0, "contributors": 1, "languages": 1}
+    assert kept == {"repositories": True, "commits": True, "contributors": True, "languages": False}
+    assert sorted(r.full_name for r in lake.read_silver(spark, lakes, "repositories").collect()) == ["a/b", "a/odd"]
+    log = spark.read.parquet(lakes.run_log()).first()
+    assert log.errors == [f"{e}: 1 unreadable records" for e in ("commits", "contributors", "repositories")]
+    data = tmp_path / "silver/repositories/data"
+    assert len([f for f in data.iterdir() if f.name.startswith("version=")]) == 1  # nothing of a first try stays
